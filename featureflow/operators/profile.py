@@ -14,6 +14,10 @@ from .stacking import SLOT, VALUE, per_slot, stack_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 QUARTILE_NAMES = ("p25", "p50", "p75")
+SUMMARY_SCHEMA = (
+    "column_name string, count bigint, mean double, stddev double, min double, "
+    "p25 double, p50 double, p75 double, max double"
+)
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -30,31 +34,30 @@ def numeric_summary(
 ) -> DataFrame:
     """Per column: count, mean, stddev, min, quartiles and max.
 
-    Quartiles are approximate by default, as in ``DataFrame.summary``, from
-    the same single scan; ``exact=True`` takes a few more scans.
+    Quartiles are approximate by default, as in ``DataFrame.summary``, from the
+    same single scan; ``exact=True`` takes a few more scans.
     """
     columns = list(columns or columns_of_type(df, ("int", "bigint", "float", "double")))
-    cuts = F.percentile_approx(VALUE, list(QUARTILES), ACCURACY)
-    summary = (
-        stack_columns(df, columns)
-        .groupBy(SLOT)
-        .agg(
-            F.count(VALUE).alias("count"),
-            F.mean(VALUE).alias("mean"),
-            F.stddev(VALUE).alias("stddev"),
-            F.min(VALUE).alias("min"),
-            *([] if exact else [cuts.alias("cuts")]),
-            F.max(VALUE).alias("max"),
-        )
-    )
+    statistics = [
+        F.count(VALUE).alias("count"),
+        F.mean(VALUE).alias("mean"),
+        F.stddev(VALUE).alias("stddev"),
+        F.min(VALUE).alias("min"),
+        F.max(VALUE).alias("max"),
+    ]
     if exact:
-        found = exact_quantiles(df, columns, QUARTILES)
-        quartiles = [
-            per_slot([found[name][j] for name in columns]).cast("double").alias(label)
-            for j, label in enumerate(QUARTILE_NAMES)
-        ]
-    else:
-        quartiles = [F.get("cuts", F.lit(j)).alias(label) for j, label in enumerate(QUARTILE_NAMES)]
+        quartiles, rows = exact_quantiles(df, columns, QUARTILES, statistics)
+        return dim_table(
+            df.sparkSession,
+            [
+                (name, r["count"], r["mean"], r["stddev"], r["min"], *quartiles[name], r["max"])
+                for name, r in rows.items()
+            ],
+            SUMMARY_SCHEMA,
+        )
+    cuts = F.percentile_approx(VALUE, list(QUARTILES), ACCURACY).alias("cuts")
+    summary = stack_columns(df, columns).groupBy(SLOT).agg(*statistics, cuts)
+    quartiles = [F.get("cuts", F.lit(j)).alias(label) for j, label in enumerate(QUARTILE_NAMES)]
     name = per_slot(columns).alias("column_name")
     return summary.select(name, "count", "mean", "stddev", "min", *quartiles, "max")
 

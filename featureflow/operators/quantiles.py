@@ -1,10 +1,10 @@
 """Exact discrete quantiles without a sort and without a per-group value table.
 
-Each wanted quantile is held in a bracket of two values. Approximate
-percentiles give a first bracket that is a few ten-thousandths of the rows
-wide; counting the rows below, at and inside its ends tells on which side the
-wanted rank lies, so the bracket either yields the value, or shrinks, and a
-wrong one is widened again. Each step is one column-pruned scan with a
+Each wanted quantile is held in a bracket of two values, first taken from a
+sketch of a sample. Counting the rows below, at and inside its ends tells on
+which side the wanted rank lies, so the bracket either yields the value, or
+shrinks, and a wrong one is widened again: the sample decides how many steps
+are needed, never the result. Each step is one column-pruned scan with a
 shuffle of one partial row per column and task. Rows strictly inside are
 gathered only when the count just taken is small, and repeated values cannot
 spoil that, because rows equal to an end are counted apart.
@@ -15,14 +15,19 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .stacking import SLOT, VALUE, per_slot, stack_columns
 
 ACCURACY = 10_000
 GATHER_LIMIT = 100_000
+SAMPLE_SHARE, SAMPLE_SEED = 0.1, 7
+# Distances from a probability at which a bracket may start.
+SLACKS = (3e-4, 1e-3, 3e-3, 1e-2, 3e-2, 1e-1)
 
 
 @dataclass
@@ -38,8 +43,7 @@ class _Bracket:
         """Use the counts around the bracket; set ``value`` if they decide it."""
         self.below, self.inside = below + at_low, inside
         if self.rank <= below:
-            self.low, self.high = -math.inf, self.low
-            self.inside = -1
+            self.low, self.high, self.inside = -math.inf, self.low, 0
         elif self.rank <= below + at_low:
             self.value = self.low
         elif self.rank <= below + at_low + inside:
@@ -47,48 +51,70 @@ class _Bracket:
         elif self.rank <= below + at_low + inside + at_high:
             self.value = self.high
         else:
-            self.low, self.high = self.high, math.nan
-            self.inside = -1
+            self.low, self.high, self.inside = self.high, math.nan, 0
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[float | None]]:
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    statistics: Sequence[Column] = (),
+) -> tuple[dict[str, list[float | None]], dict[str, Row]]:
     """The smallest value whose cumulative share reaches each probability, per column.
 
-    Nulls are left out; values are compared as doubles.
+    Nulls are left out; values are compared as doubles. ``statistics`` are
+    aggregates of the stacked values, computed in the first scan and returned
+    as one row per column.
     """
     stacked = stack_columns(df, columns)
-    slack = 2.0 / ACCURACY
-    first = [q for p in probabilities for q in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    start = {
-        row[SLOT]: row
-        for row in stacked.groupBy(SLOT)
-        .agg(
-            F.count(VALUE).alias("n"),
-            F.percentile_approx(VALUE, first, ACCURACY).alias("cut"),
-        )
-        .collect()
-    }
-    open_brackets: dict[tuple[int, int], _Bracket] = {}
+    rows = _first_scan(stacked, probabilities, statistics)
     result: dict[str, list[float | None]] = {name: [None] * len(probabilities) for name in columns}
-    for slot, row in start.items():
-        for j, p in enumerate(probabilities):
-            if row["n"]:
-                rank = max(1, math.ceil(p * row["n"]))
-                open_brackets[slot, j] = _Bracket(rank, row["cut"][2 * j], row["cut"][2 * j + 1])
-
-    while open_brackets:
-        _count(stacked, columns, len(probabilities), open_brackets)
-        _narrow(stacked, columns, len(probabilities), open_brackets, slack)
-        for (slot, j), bracket in list(open_brackets.items()):
+    brackets = {
+        (row[SLOT], j): _start(row, p, j)
+        for row in rows
+        for j, p in enumerate(probabilities)
+        if row["_n"]
+    }
+    while brackets:
+        _count(stacked, columns, len(probabilities), brackets)
+        _narrow(stacked, columns, len(probabilities), brackets)
+        for (slot, j), bracket in list(brackets.items()):
             if bracket.value is not None:
                 result[columns[slot]][j] = bracket.value
-                del open_brackets[slot, j]
-    return result
+                del brackets[slot, j]
+    return result, {columns[row[SLOT]]: row for row in rows}
+
+
+def _around(share: float, slack: float) -> tuple[float, float]:
+    return max(share - slack, 0.0), min(share + slack, 1.0)
+
+
+def _first_scan(stacked, probabilities, statistics) -> list[Row]:
+    sampled = F.when(F.rand(SAMPLE_SEED) < SAMPLE_SHARE, F.col(VALUE))
+    stacked = stacked.withColumn("_sample", sampled)
+    wanted = [q for p in probabilities for slack in SLACKS for q in _around(p, slack)]
+    first = stacked.groupBy(SLOT).agg(
+        F.count(VALUE).alias("_n"),
+        F.count("_sample").alias("_sampled"),
+        F.percentile_approx("_sample", wanted, ACCURACY).alias("_cuts"),
+        *statistics,
+    )
+    return first.collect()
+
 
+def _start(row: Row, probability: float, j: int) -> _Bracket:
+    """Bracket four standard errors of the sampled rank to each side."""
+    bracket = _Bracket(rank=max(1, math.ceil(probability * row["_n"])))
+    if row["_sampled"]:
+        error = 4 * math.sqrt(probability * (1 - probability) / row["_sampled"]) + 2 / ACCURACY
+        level = next((i for i, slack in enumerate(SLACKS) if slack >= error), None)
+        if level is not None:
+            at = 2 * (j * len(SLACKS) + level)
+            bracket.low, bracket.high = row["_cuts"][at : at + 2]
+    return bracket
 
-def _ends(columns, j, brackets):
+
+def _ends(columns, j, brackets) -> tuple[Column, Column]:
     """Bracket ends of quantile ``j`` as columns; null where there is none left."""
     held = [brackets.get((slot, j)) for slot in range(len(columns))]
     low = per_slot([b.low if b else None for b in held]).cast("double")
@@ -96,15 +122,20 @@ def _ends(columns, j, brackets):
     return low, high
 
 
-def _count(stacked, columns, width, brackets):
+def _inside(columns, j, brackets) -> Column:
+    low, high = _ends(columns, j, brackets)
+    return F.when((F.col(VALUE) > low) & (F.col(VALUE) < high), F.col(VALUE))
+
+
+def _count(stacked, columns, width, brackets) -> None:
     value = F.col(VALUE)
     counts = []
     for j in range(width):
         low, high = _ends(columns, j, brackets)
-        strictly = (value > low) & (value < high)
         # Where both ends are one value, its rows are counted at the low end.
         at_high = (value == high) & (low < high)
-        tests = {"b": value < low, "l": value == low, "i": strictly, "h": at_high}
+        inside = (value > low) & (value < high)
+        tests = {"b": value < low, "l": value == low, "i": inside, "h": at_high}
         counts += [F.count_if(test).alias(f"{key}{j}") for key, test in tests.items()]
     for row in stacked.groupBy(SLOT).agg(*counts).collect():
         for j in range(width):
@@ -112,36 +143,31 @@ def _count(stacked, columns, width, brackets):
                 brackets[row[SLOT], j].settle(*(row[f"{key}{j}"] for key in "blih"))
 
 
-def _narrow(stacked, columns, width, brackets, slack):
+def _narrow(stacked, columns, width, brackets) -> None:
     """Gather the rows inside small brackets, and cut the large ones down."""
     gather = {k: b for k, b in brackets.items() if b.value is None and 0 < b.inside <= GATHER_LIMIT}
     cut = {k: b for k, b in brackets.items() if b.value is None and b.inside > GATHER_LIMIT}
-    if not gather and not cut:
-        return
-    value = F.col(VALUE)
-    steps = []
+    steps, order = [], {}
     for j in range(width):
-        low, high = _ends(columns, j, gather)
-        inside = F.collect_list(F.when((value > low) & (value < high), value))
-        steps.append(F.sort_array(inside).alias(f"g{j}"))
-        low, high = _ends(columns, j, cut)
-        wanted = [
-            q
-            for slot in range(len(columns))
-            if (b := cut.get((slot, j)))
-            for share in [(b.rank - b.below) / b.inside]
-            for q in (max(share - slack, 0.0), min(share + slack, 1.0))
-        ]
-        if wanted:
-            inside = F.when((value > low) & (value < high), value)
-            steps.append(F.percentile_approx(inside, wanted, ACCURACY).alias(f"c{j}"))
-    for row in stacked.groupBy(SLOT).agg(*steps).collect():
+        if any(quantile == j for _, quantile in gather):
+            gathered = F.collect_list(_inside(columns, j, gather))
+            steps.append(F.sort_array(gathered).alias(f"g{j}"))
+        order[j] = sorted(slot for slot, quantile in cut if quantile == j)
+        if order[j]:
+            shares = [(cut[s, j].rank - cut[s, j].below) / cut[s, j].inside for s in order[j]]
+            cuts = [q for share in shares for q in _around(share, 2 / ACCURACY)]
+            inside = _inside(columns, j, cut)
+            steps.append(F.percentile_approx(inside, cuts, ACCURACY).alias(f"c{j}"))
+    if not steps:
+        return
+    open_ones = {**gather, **cut}
+    wanted = [_inside(columns, j, open_ones).isNotNull() for j in range(width)]
+    few = stacked.filter(reduce(or_, wanted))
+    for row in few.groupBy(SLOT).agg(*steps).collect():
         for j in range(width):
             key = (row[SLOT], j)
             if key in gather:
-                bracket = gather[key]
-                bracket.value = row[f"g{j}"][bracket.rank - bracket.below - 1]
+                gather[key].value = row[f"g{j}"][gather[key].rank - gather[key].below - 1]
             elif key in cut:
-                order = sorted(slot for slot, other in cut if other == j)
-                at = 2 * order.index(row[SLOT])
+                at = 2 * order[j].index(row[SLOT])
                 cut[key].low, cut[key].high = row[f"c{j}"][at : at + 2]

@@ -43,7 +43,8 @@ from ..sinks import (
 )
 from ..sources import dim_table, load_model, read_csv, read_libsvm, read_table, read_table_stream
 from ..streaming import score_batches, score_keys, score_labels
-from .scoring import assemble_features, score, write_positive_ids
+from .held import held
+from .scoring import score, write_positive_ids
 from .training import (
     ChurnFlow,
     coefficient_table,
@@ -899,13 +900,13 @@ def tune_grid(spark, folder):
     """The regression tuned behind feature stages fitted on the training part."""
     flow = quality_flow()
     train, _ = flow.split(quality_table(spark, folder))
-    features = Pipeline(stages=feature_stages(flow.numeric, flow.categorical)).fit(train)
-    prepared = features.transform(train).select("target", "selectedFeatures").persist()
     regression = logistic_regression(maxIter=100)
     grid = logistic_grid(regression)
-    report = tuning_report(spark, tune(regression, prepared, grid, parallelism=4), grid)
-    prepared.unpersist()
-    return report
+    with held(train) as table:
+        features = Pipeline(stages=feature_stages(flow.numeric, flow.categorical)).fit(table)
+        prepared = features.transform(table).select("target", "selectedFeatures")
+        tuned = tune(regression, prepared, grid, parallelism=4)
+    return tuning_report(spark, tuned, grid)
 
 
 @query("MDL4 MDL5 MDL7")
@@ -916,9 +917,8 @@ def best_params(spark, folder):
     regression = logistic_regression(maxIter=100)
     stages = [*feature_stages(flow.numeric, flow.categorical), regression]
     grid = logistic_grid(regression, (0.01, 0.5), (0.0,), (True,))
-    train = train.persist()
-    tuned = tune(Pipeline(stages=stages), train, grid, parallelism=2)
-    train.unpersist()
+    with held(train) as table:
+        tuned = tune(Pipeline(stages=stages), table, grid, parallelism=2)
     return best_parameters(spark, tuned)
 
 
@@ -1004,10 +1004,9 @@ def churn_flow(spark, folder):
     )
     train, test = flow.split(table)
     scored = score(flow.fit(train), test, ["target", "rawPrediction", "prediction"])
-    scored = scored.persist()
-    auc_value = metrics.area_under_roc(scored, "target", "rawPrediction")
-    quality = metrics.prediction_quality(metrics.confusion_matrix(scored)).first()
-    scored.unpersist()
+    with held(scored) as table:
+        auc_value = metrics.area_under_roc(table, "target", "rawPrediction")
+        quality = metrics.prediction_quality(metrics.confusion_matrix(table)).first()
     schema = (
         "tp bigint, fp bigint, fn bigint, tn bigint, "
         "accuracy double, precision double, recall double, auc double"

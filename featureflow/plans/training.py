@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -33,6 +32,7 @@ from ..operators.sampling import hash_split, random_split
 from ..operators.scaling import min_max
 from ..operators.selection import top_share
 from ..sources.dimensions import dim_table
+from .held import held
 from .tuning import logistic_grid, tune
 
 # The settings of the churn model and of its tuning split.
@@ -119,28 +119,22 @@ class ChurnFlow:
         regression is tuned on their output; the pipeline keeps the very
         stages the winner was trained behind.
         """
-        wide = too_many_categories(train, self.categorical) if self.categorical else []
-        if wide:
-            raise ValueError(f"too many categories to one-hot encode: {wide}")
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        prepared = None
-        try:
-            numeric = prune_correlated(train, self.numeric, self.threshold)
+        with held(train) as table:
+            wide = too_many_categories(table, self.categorical) if self.categorical else []
+            if wide:
+                raise ValueError(f"too many categories to one-hot encode: {wide}")
+            numeric = prune_correlated(table, self.numeric, self.threshold)
             stages = feature_stages(numeric, self.categorical, self.label, self.share)
-            features = Pipeline(stages=stages).fit(train)
-            prepared = features.transform(train).select(self.label, "selectedFeatures")
-            prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+            features = Pipeline(stages=stages).fit(table)
+            prepared = features.transform(table).select(self.label, "selectedFeatures")
             regression = logistic_regression(label=self.label, **self.regression)
             if self.grid is None:
                 model = regression.fit(prepared)
             else:
                 grid = logistic_grid(regression, **self.grid)
-                tuned = tune(regression, prepared, grid, self.label, self.parallelism, seed=self.seed)
+                with held(prepared) as ready:
+                    tuned = tune(regression, ready, grid, self.label, self.parallelism, seed=self.seed)
                 model = tuned.bestModel
-        finally:
-            if prepared is not None:
-                prepared.unpersist()
-            train.unpersist()
         return PipelineModel(stages=[*features.stages, model])
 
 
