@@ -20,6 +20,7 @@ from ..operators.correlation import prune_correlated
 from ..operators.encoding import (
     CODED,
     INDEXED,
+    MAX_CATEGORIES,
     assemble,
     encode_columns,
     index_columns,
@@ -101,6 +102,7 @@ class ChurnFlow:
     grid: dict | None = None
     parallelism: int = 2
     seed: int = 42
+    max_categories: int = MAX_CATEGORIES
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = df.select(*self.keys, *self.numeric, *self.categorical, self.label)
@@ -120,9 +122,10 @@ class ChurnFlow:
         stages the winner was trained behind.
         """
         with held(train) as table:
-            wide = too_many_categories(table, self.categorical) if self.categorical else []
-            if wide:
-                raise ValueError(f"too many categories to one-hot encode: {wide}")
+            if self.categorical:
+                wide = too_many_categories(table, self.categorical, self.max_categories)
+                if wide:
+                    raise ValueError(f"too many categories to one-hot encode: {wide}")
             numeric = prune_correlated(table, self.numeric, self.threshold)
             stages = feature_stages(numeric, self.categorical, self.label, self.share)
             features = Pipeline(stages=stages).fit(table)
