@@ -25,13 +25,19 @@ def replicate_rows(df: DataFrame, copies: int | Column) -> DataFrame:
     return copied.drop("_copy")
 
 
-def oversample(df: DataFrame, target: str, minority: Any = 1, majority: Any = 0) -> DataFrame:
+def oversample(
+    df: DataFrame, target: str, minority: Any = 1, majority: Any = 0, ratio: int | None = None
+) -> DataFrame:
     """Rows of both classes, the minority repeated by the integer class ratio.
 
     One pass replicates in place of a union of two filtered scans; the ratio
     is a scalar subquery over the target column only, so nothing runs before
-    the result is asked for and no row crosses the network.
+    the result is asked for and no row crosses the network. A known ``ratio``
+    saves the subquery where the result is scanned many times.
     """
-    ratio = class_ratio(df, target, minority, majority).select("ratio").scalar()
-    copies = F.when(F.col(target) == minority, F.greatest(ratio, F.lit(1))).otherwise(1)
+    if ratio is None:
+        times = class_ratio(df, target, minority, majority).select("ratio").scalar()
+    else:
+        times = F.lit(ratio)
+    copies = F.when(F.col(target) == minority, F.greatest(times, F.lit(1))).otherwise(1)
     return replicate_rows(df.filter(F.col(target).isin(minority, majority)), copies)

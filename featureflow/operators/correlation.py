@@ -17,7 +17,7 @@ from ..sources.dimensions import dim_table
 from .stacking import SLOT, VALUE
 
 PAIRS_SCHEMA = "col_a string, col_b string, corr double"
-SHIFT_ROWS = 10_000
+SHIFT_ROWS = 1_000
 COLUMNS_PER_SCAN = 80
 SHIFT_TOLERANCE = 1e4
 
@@ -60,8 +60,9 @@ def _complete_correlations(df: DataFrame, columns: list[str]) -> list[list[float
     digits. If that turns out to be far from a column's real mean, the scan is
     repeated with the means it found.
     """
-    shift = df.limit(SHIFT_ROWS).agg(*[F.mean(name).alias(name) for name in columns]).first()
-    shifts = {name: shift[name] or 0.0 for name in columns}
+    # ``take`` stops at the first partitions; a ``limit`` under an aggregate would visit them all.
+    first = df.take(SHIFT_ROWS)
+    shifts = {name: _mean([row[name] for row in first]) for name in columns}
     for attempt in range(2):
         n, sums, products, complete = _product_sums(df, columns, shifts)
         if not complete or n == 0:
@@ -76,13 +77,14 @@ def _complete_correlations(df: DataFrame, columns: list[str]) -> list[list[float
     with np.errstate(divide="ignore", invalid="ignore"):
         scale = np.sqrt(np.diag(covariance))
         matrix = covariance / np.outer(scale, scale)
-    flat = ~(np.diag(covariance) > 0)
-    undefined = flat[:, None] | flat[None, :]
-    return [
-        [None if undefined[i, j] and not math.isnan(scale[i] * scale[j]) else float(matrix[i, j])
-         for j in range(len(columns))]
-        for i in range(len(columns))
-    ]
+    constant = scale == 0
+    undefined = constant[:, None] | constant[None, :]
+    return np.where(undefined, None, matrix).tolist()
+
+
+def _mean(values: list[float | None]) -> float:
+    usable = [value for value in values if value is not None and math.isfinite(value)]
+    return math.fsum(usable) / len(usable) if usable else 0.0
 
 
 def _product_sums(df: DataFrame, columns: list[str], shifts: dict[str, float]):

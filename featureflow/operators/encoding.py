@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from ..sources.dimensions import dim_table
 
 INDEXED, CODED = "_Indexed", "_Coded"
@@ -97,6 +98,7 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
     it; the sorted table is checkpointed so that both come from one run of
     the sort.
     """
+    shared_folder(df.sparkSession)
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     ordered = (
         counts.orderBy(F.desc("rows"), F.asc(F.col(column).cast("string")))

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a table has at most ``rows`` rows.
+
+    A plain count reads no column; a ``limit`` before it would move up to
+    ``rows`` rows of every partition into one task.
+    """
+    return df.count() <= rows
 
 
 def join_dimension(

@@ -79,13 +79,15 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> float | None:
     ``score`` is a number or a model's raw vector. Rows are reduced to counts
     per distinct score before the sort, so a score shared by many rows is one
     row of one range. Every range gives one row; the ranges are then put
-    together in order. Null if a class is missing.
+    together in order. Rows without a score or label are left out; null if a
+    class is missing.
     """
     value = F.col(score)
     if not isinstance(df.schema[score].dataType, T.NumericType):
         value = F.get(vector_to_array(value), F.lit(1))
     counts = (
         df.select(value.cast("double").alias("s"), (F.col(label) > 0.5).alias("y"))
+        .filter(F.col("s").isNotNull() & F.col("y").isNotNull())
         .groupBy("s")
         .agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     )

@@ -895,6 +895,56 @@ def lr_summary(spark, folder):
     return metrics.training_summary(spark, model.stages[-1])
 
 
+def odds_table(spark: SparkSession, folder: str) -> DataFrame:
+    labels = read_table(spark, folder, "labels").withColumnRenamed("quality", "target")
+    return encoding.assemble(["toxic"], "selectedFeatures").transform(labels)
+
+
+ODDS = {"regParam": 0.0, "elasticNetParam": 0.0, "tol": 1e-12}
+ODDS_SQL = f"WITH c AS ({CONFUSION_SQL})"
+
+
+@query(
+    "MDL1 MDL6",
+    f"""{ODDS_SQL}
+        SELECT -1 AS slot, round(ln(fn / tn), 3) + 0.0 AS coefficient FROM c
+        UNION ALL SELECT 0, round(ln((tp * tn) / (fp * fn)), 3) + 0.0 FROM c""",
+)
+def lr_odds(spark, folder):
+    """On one binary feature the unpenalised fit is known: the log odds and their ratio."""
+    model = logistic_regression(**ODDS).fit(odds_table(spark, folder))
+    return rounded(coefficient_table(spark, model), 3, "coefficient")
+
+
+@query(
+    "AGG12 MDL1",
+    f"""{ODDS_SQL}
+        SELECT round((greatest(tp, fp) + greatest(fn, tn)) / (tp + fp + fn + tn), 9) AS accuracy,
+               round(CASE WHEN tp * tn < fp * fn THEN 1 - area ELSE area END, 9) AS auc
+        FROM (SELECT *, (tp * tn + (tp * fp + fn * tn) / 2) / ((tp + fn) * (fp + tn)) AS area FROM c)""",
+)
+def lr_odds_summary(spark, folder):
+    model = logistic_regression(**ODDS).fit(odds_table(spark, folder))
+    summary = metrics.training_summary(spark, model).select("accuracy", "auc")
+    return rounded(summary, 9, "accuracy", "auc")
+
+
+@query(
+    "MDL1 MDL8",
+    f"""{ODDS_SQL}
+        SELECT doc_id, round(CASE WHEN toxic = 1 THEN tp / (tp + fp) ELSE fn / (fn + tn) END, 4)
+                   AS probability,
+               CASE WHEN toxic = 1 THEN (tp > fp)::INTEGER ELSE (fn > tn)::INTEGER END::DOUBLE
+                   AS prediction
+        FROM labels, c""",
+)
+def lr_odds_score(spark, folder):
+    table = odds_table(spark, folder)
+    scored = score(PipelineModel(stages=[logistic_regression(**ODDS).fit(table)]), table)
+    share = F.round(F.get(vector_to_array("probability"), F.lit(1)), 4).alias("probability")
+    return scored.select("doc_id", share, "prediction")
+
+
 @query("MDL3 MDL4 MDL5")
 def tune_grid(spark, folder):
     """The regression tuned behind feature stages fitted on the training part."""
@@ -902,7 +952,8 @@ def tune_grid(spark, folder):
     train, _ = flow.split(quality_table(spark, folder))
     regression = logistic_regression(maxIter=100)
     grid = logistic_grid(regression)
-    with held(train) as table:
+    with held(train) as kept:
+        table = flow.balanced(kept)
         features = Pipeline(stages=feature_stages(flow.numeric, flow.categorical)).fit(table)
         prepared = features.transform(table).select("target", "selectedFeatures")
         tuned = tune(regression, prepared, grid, parallelism=4)
@@ -918,7 +969,7 @@ def best_params(spark, folder):
     stages = [*feature_stages(flow.numeric, flow.categorical), regression]
     grid = logistic_grid(regression, (0.01, 0.5), (0.0,), (True,))
     with held(train) as table:
-        tuned = tune(Pipeline(stages=stages), table, grid, parallelism=2)
+        tuned = tune(Pipeline(stages=stages), flow.balanced(table), grid, parallelism=2)
     return best_parameters(spark, tuned)
 
 
@@ -930,6 +981,21 @@ def rf_score(spark, folder):
     return score(model, test, ["vec_id", "label", "prediction", "predictedLabel"])
 
 
+@query(
+    "MDL2 FEA1 FEA5 FEA8 MDL7 MDL8",
+    """WITH n AS (SELECT l_linenumber, l_returnflag, count(*) AS rows FROM lineitem GROUP BY ALL)
+       SELECT l_linenumber, arg_max(l_returnflag, rows) AS "predictedLabel", sum(rows)::BIGINT AS rows
+       FROM n GROUP BY 1""",
+)
+def rf_majority(spark, folder):
+    """One whole tree on one categorical feature predicts the majority label of each value."""
+    lines = read_table(spark, folder, "lineitem").select("l_linenumber", "l_returnflag")
+    table = encoding.assemble(["l_linenumber"]).transform(lines)
+    model = fit_forest(table, "l_returnflag", trees=1, bootstrap=False, maxDepth=10)
+    scored = score(model, table, ["l_linenumber", "predictedLabel"])
+    return scored.groupBy("l_linenumber", "predictedLabel").agg(F.count("*").alias("rows"))
+
+
 @query("MDL6")
 def rf_trees(spark, folder):
     return forest_table(spark, fit_forest(embedding_vectors(spark, folder)).stages[2])

@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.balance import oversample
+from ..operators.balance import class_ratio, oversample
 from ..operators.correlation import prune_correlated
 from ..operators.encoding import (
     CODED,
@@ -84,9 +84,10 @@ def feature_stages(
 class ChurnFlow:
     """What to learn from, and how; ``fit`` returns one saved-as-a-whole pipeline model.
 
-    The test part is split off first by key, so no copy of a test row and no
-    statistic of one reaches training. ``oversample_first`` balances before
-    the split instead, which lets copies of a row land on both sides.
+    The test part is split off first by key and only the training part is
+    balanced, so no copy of a test row and no statistic of one reaches
+    training. ``oversample_first`` balances before the split instead, which
+    lets copies of a row land on both sides.
     """
 
     numeric: Sequence[str]
@@ -106,13 +107,19 @@ class ChurnFlow:
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = df.select(*self.keys, *self.numeric, *self.categorical, self.label)
-        majority = 1 - self.minority
         if self.oversample_first:
-            balanced = oversample(wanted, self.label, self.minority, majority)
+            balanced = oversample(wanted, self.label, self.minority, 1 - self.minority)
             parts = random_split(balanced, (self.train_share, 1 - self.train_share), self.seed)
             return parts[0], parts[1]
-        train, test = hash_split(wanted, self.keys, self.train_share)
-        return oversample(train, self.label, self.minority, majority), test
+        return hash_split(wanted, self.keys, self.train_share)
+
+    def balanced(self, train: DataFrame) -> DataFrame:
+        """The minority repeated in an already held table, so the copies are never stored."""
+        if self.oversample_first:
+            return train
+        classes = (self.label, self.minority, 1 - self.minority)
+        ratio = class_ratio(train, *classes).first()["ratio"]
+        return oversample(train, *classes, ratio=ratio or 1)
 
     def fit(self, train: DataFrame) -> PipelineModel:
         """Fit all stages on ``train``, which is kept in memory or on disk meanwhile.
@@ -126,6 +133,7 @@ class ChurnFlow:
                 wide = too_many_categories(table, self.categorical, self.max_categories)
                 if wide:
                     raise ValueError(f"too many categories to one-hot encode: {wide}")
+            table = self.balanced(table)
             numeric = prune_correlated(table, self.numeric, self.threshold)
             stages = feature_stages(numeric, self.categorical, self.label, self.share)
             features = Pipeline(stages=stages).fit(table)

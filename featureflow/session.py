@@ -33,10 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder: on a
     cluster a machine-local path would be lost with the machine.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(folder)
         return folder
-    context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
     if not context.master.startswith("local"):

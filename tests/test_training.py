@@ -59,7 +59,7 @@ def fitted(customers, flow):
 def test_split_keeps_copies_out_of_the_test_part(customers, flow):
     train, test = flow.split(customers)
     assert train.join(test, "id").count() == 0
-    counts = {r["target"]: r["count"] for r in train.groupBy("target").count().collect()}
+    counts = {r["target"]: r["count"] for r in flow.balanced(train).groupBy("target").count().collect()}
     assert counts[1] > counts[0] / 2
     assert test.count() == test.select("id").distinct().count()
 
