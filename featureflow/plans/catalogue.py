@@ -52,7 +52,6 @@ from .training import (
     forest_table,
     importance_table,
     logistic_regression,
-    feature_stages,
 )
 from .tuning import best_parameters, logistic_grid, tune, tuning_report
 
@@ -862,6 +861,7 @@ def quality_flow(**settings) -> ChurnFlow:
         categorical=["lang", "source"],
         keys=["doc_id"],
         minority=0,
+        handle_invalid="keep",
         **settings,
     )
 
@@ -954,7 +954,7 @@ def tune_grid(spark, folder):
     grid = logistic_grid(regression)
     with held(train) as kept:
         table = flow.balanced(kept)
-        features = Pipeline(stages=feature_stages(flow.numeric, flow.categorical)).fit(table)
+        features = Pipeline(stages=flow.stages(flow.numeric)).fit(table)
         prepared = features.transform(table).select("target", "selectedFeatures")
         tuned = tune(regression, prepared, grid, parallelism=4)
     return tuning_report(spark, tuned, grid)
@@ -966,7 +966,7 @@ def best_params(spark, folder):
     flow = quality_flow()
     train, _ = flow.split(quality_table(spark, folder))
     regression = logistic_regression(maxIter=100)
-    stages = [*feature_stages(flow.numeric, flow.categorical), regression]
+    stages = [*flow.stages(flow.numeric), regression]
     grid = logistic_grid(regression, (0.01, 0.5), (0.0,), (True,))
     with held(train) as table:
         tuned = tune(Pipeline(stages=stages), flow.balanced(table), grid, parallelism=2)
@@ -1066,6 +1066,7 @@ def churn_flow(spark, folder):
         categorical=["o_orderpriority", "c_mktsegment"],
         keys=["o_orderkey"],
         minority=0,
+        handle_invalid="keep",
         regression=LIGHT,
     )
     train, test = flow.split(table)

@@ -87,7 +87,9 @@ class ChurnFlow:
     The test part is split off first by key and only the training part is
     balanced, so no copy of a test row and no statistic of one reaches
     training. ``oversample_first`` balances before the split instead, which
-    lets copies of a row land on both sides.
+    lets copies of a row land on both sides. With ``handle_invalid="keep"`` a
+    category that training did not see is scored as none of the known ones;
+    by default it fails the job.
     """
 
     numeric: Sequence[str]
@@ -104,6 +106,7 @@ class ChurnFlow:
     parallelism: int = 2
     seed: int = 42
     max_categories: int = MAX_CATEGORIES
+    handle_invalid: str = "error"
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = df.select(*self.keys, *self.numeric, *self.categorical, self.label)
@@ -121,6 +124,11 @@ class ChurnFlow:
         ratio = class_ratio(train, *classes).first()["ratio"]
         return oversample(train, *classes, ratio=ratio or 1)
 
+    def stages(self, numeric: Sequence[str]) -> list:
+        return feature_stages(
+            numeric, self.categorical, self.label, self.share, self.handle_invalid
+        )
+
     def fit(self, train: DataFrame) -> PipelineModel:
         """Fit all stages on ``train``, which is kept in memory or on disk meanwhile.
 
@@ -135,8 +143,7 @@ class ChurnFlow:
                     raise ValueError(f"too many categories to one-hot encode: {wide}")
             table = self.balanced(table)
             numeric = prune_correlated(table, self.numeric, self.threshold)
-            stages = feature_stages(numeric, self.categorical, self.label, self.share)
-            features = Pipeline(stages=stages).fit(table)
+            features = Pipeline(stages=self.stages(numeric)).fit(table)
             prepared = features.transform(table).select(self.label, "selectedFeatures")
             regression = logistic_regression(label=self.label, **self.regression)
             if self.grid is None:

@@ -84,6 +84,20 @@ def test_flow_prunes_encodes_selects_and_scores(spark, fitted):
     assert summary["auc"] > 0.6 and summary["accuracy"] > 0.6
 
 
+def test_unseen_category_fails_unless_kept(spark, customers):
+    odd = customers.limit(1).withColumn("card", F.lit("Violet"))
+    for invalid in ("error", "keep"):
+        flow = ChurnFlow(
+            NUMERIC, ["card"], ["id"], regression={"regParam": 0.01}, handle_invalid=invalid
+        )
+        model = flow.fit(flow.split(customers)[0])
+        if invalid == "keep":
+            assert score(model, odd).count() == 1 and score(model, odd).first()["prediction"] is not None
+        else:
+            with pytest.raises(Exception, match="Unseen label"):
+                score(model, odd).collect()
+
+
 def test_saved_model_predicts_the_same_without_label(fitted, tmp_path, rows):
     model, test = fitted
     save_model(model, str(tmp_path / "model"))
