@@ -61,18 +61,19 @@ def parse_csv_line(
     """Columns of ``schema`` (after ``keep``) parsed from a text column.
 
     permissive: missing and malformed fields are null.
-    strict: such a line fails the job, whatever the session's ANSI setting.
+    strict: such a line fails the job, whatever the session's ANSI setting,
+    as soon as any parsed column is used.
     tag: as permissive, plus the line and the reason in ``_problem``.
     """
     fields = df.select(*keep, column, split_fields(column, sep, drop_trailing).alias(FIELDS))
     if mode == "permissive":
         return fields.select(*keep, *_typed(schema))
     if mode == "strict":
+        # The check sits in the array every parsed column is taken from: once per
+        # row, where a filter would be pushed down and split the line again.
         problem = _problem(schema)
-        checked = fields.filter(
-            F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(F.lit(True)).cast("boolean")
-        )
-        return checked.select(*keep, *_typed(schema))
+        guarded = F.when(problem.isNull(), F.col(FIELDS)).otherwise(F.raise_error(problem))
+        return fields.select(*keep, guarded.alias(FIELDS)).select(*keep, *_typed(schema))
     if mode == "tag":
         return fields.select(*keep, *_typed(schema), column, _problem(schema).alias(PROBLEM))
     raise ValueError(f"unknown mode {mode!r}")
@@ -86,8 +87,14 @@ def quarantine_csv_line(
     sep: str = ",",
     drop_trailing: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the other lines with the reason in ``_problem``."""
+    """Well-formed rows, and the other lines with the reason in ``_problem``.
+
+    Each part reads the input; the ``tag`` mode serves a single pass.
+    """
     tagged = parse_csv_line(df, column, schema, "tag", keep, sep, drop_trailing)
+    # Filters are not pushed below a generator, so a line is split once per part.
+    parsed = F.inline(F.array(F.struct(*schema.names, PROBLEM)))
+    tagged = tagged.select(*keep, column, parsed)
     good = tagged.filter(F.col(PROBLEM).isNull()).drop(column, PROBLEM)
     bad = tagged.filter(F.col(PROBLEM).isNotNull()).select(*keep, column, PROBLEM)
     return good, bad
