@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from featureflow.functions import parse_csv_line, quarantine_csv_line, split_fields
 from featureflow.schemas import CHURN_SCHEMA, IRIS_FEATURES_SCHEMA, record
@@ -78,6 +80,14 @@ def test_line_is_split_once_per_row(spark):
     assert optimized.count("split(") <= 3 and "Python" not in optimized
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet='ab,"1.- ', max_size=12), min_size=40, max_size=40))
+def test_split_against_plain_strings(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    got = df.select("i", split_fields("value").alias("f")).orderBy("i").collect()
+    assert [r["f"] for r in got] == [v.replace('"', "").rstrip(",").split(",") for v in values]
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         parse_csv_line(lines(spark, "1"), "value", SCHEMA, "other")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from featureflow.schemas import record
 from featureflow.sinks import start_batches, start_stream, wait
-from featureflow.sources import read_text_stream
+from featureflow.sources import read_table_stream, read_text_stream
 from featureflow.streaming import score_batches, score_keys, send_batches
 
 SCHEMA = record("id int, value double")
@@ -111,6 +111,19 @@ def test_cadence_timeout_and_checkpoint(spark, model, tmp_path):
         start_stream(lines, "")
 
 
+def test_stored_table_as_a_stream(spark, tmp_path):
+    """A folder of part files, and a table that is one file."""
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    single = tmp_path / "one"
+    spark.range(5).coalesce(1).write.parquet(str(single))
+    next(single.glob("part-*.parquet")).rename(tmp_path / "one.parquet")
+    for name, count in (("many", 30), ("one", 5)):
+        stream = read_table_stream(spark, str(tmp_path), name)
+        options = {"path": str(tmp_path / f"out-{name}")}
+        wait(start_stream(stream, str(tmp_path / f"p-{name}"), "parquet", options, every=None), 120)
+        assert spark.read.parquet(options["path"]).distinct().count() == count
+
+
 def test_stream_plan_has_no_python_and_no_state(spark, model, tmp_path):
     folder = tmp_path / "in"
     put(folder, "a.txt", range(3))
