@@ -36,6 +36,7 @@ HEADLINE = [
     "min_max_scaled",
     "anova",
     "selected_features",
+    "selected_by_score",
     "confusion",
     "prediction_quality",
     "auc",

@@ -29,7 +29,12 @@ from ..functions.text import format_message, join_fields
 from ..functions.vectors import slice_vector, vector_elements
 from ..operators import balance, correlation, encoding, joins, metrics, profile, sampling, sets
 from ..operators.scaling import min_max
-from ..operators.selection import anova_scores, selected_columns, top_share
+from ..operators.selection import (
+    anova_scores,
+    selected_columns,
+    top_share,
+    top_share_by_score,
+)
 from ..schemas import record
 from ..session import work_path
 from ..sinks import (
@@ -699,9 +704,11 @@ SCALED = ["l_quantity", "l_extendedprice", "l_discount"]
     "FEA6 FEA4",
     """WITH r AS (SELECT min(l_quantity) a, max(l_quantity) b, min(l_extendedprice) c,
                          max(l_extendedprice) d, min(l_discount) e, max(l_discount) f FROM lineitem)
-       SELECT l_orderkey, l_linenumber, round((l_quantity - a) / (b - a), 6) AS l_quantity,
-              round((l_extendedprice - c) / (d - c), 6) AS l_extendedprice,
-              round((l_discount - e) / (f - e), 6) AS l_discount, 0.5::DOUBLE AS constant
+       SELECT l_orderkey, l_linenumber,
+              floor((l_quantity - a) / (b - a) * 1e6 + 0.5) / 1e6 AS l_quantity,
+              floor((l_extendedprice - c) / (d - c) * 1e6 + 0.5) / 1e6 AS l_extendedprice,
+              floor((l_discount - e) / (f - e) * 1e6 + 0.5) / 1e6 AS l_discount,
+              0.5::DOUBLE AS constant
        FROM lineitem, r""",
 )
 def min_max_scaled(spark, folder):
@@ -712,7 +719,8 @@ def min_max_scaled(spark, folder):
         "l_orderkey", "l_linenumber", F.col("scaledFeatures").alias("v")
     )
     found = vector_elements(scaled, "v", columns).drop("v")
-    return rounded(found, 6, *columns)
+    # Cheaper than decimal rounding of every value.
+    return found.withColumns({name: F.floor(F.col(name) * 1e6 + 0.5) / 1e6 for name in columns})
 
 
 ANOVA_SQL = f"""
@@ -754,6 +762,18 @@ def selected_features(spark, folder):
     return selected_columns(spark, fitted.stages[-1], MEASURE_NAMES)
 
 
+@query(
+    "FEA7",
+    f"""{ANOVA_SQL} SELECT slot::INTEGER AS slot, column_name FROM f
+        ORDER BY f_score DESC, slot LIMIT {int(len(MEASURE_NAMES) * 0.75)}""",
+)
+def selected_by_score(spark, folder):
+    table = encoding.assemble(MEASURE_NAMES).transform(measures(spark, folder, "l_returnflag"))
+    slicer = top_share_by_score(table, "features", "l_returnflag")
+    rows = [(i, MEASURE_NAMES[i]) for i in slicer.getIndices()]
+    return dim_table(spark, rows, "slot int, column_name string")
+
+
 @query("FEA8", "SELECT event_id, event_type, event_type AS found FROM events")
 def index_to_label(spark, folder):
     events = read_table(spark, folder, "events").select("event_id", "event_type")

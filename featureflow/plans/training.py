@@ -31,7 +31,7 @@ from ..operators.encoding import (
 )
 from ..operators.sampling import hash_split, random_split
 from ..operators.scaling import min_max
-from ..operators.selection import top_share
+from ..operators.selection import top_share, top_share_by_score
 from ..sources.dimensions import dim_table
 from .held import held
 from .tuning import logistic_grid, tune
@@ -66,17 +66,18 @@ def feature_stages(
     numeric: Sequence[str],
     categorical: Sequence[str],
     label: str = "target",
-    share: float = 0.75,
+    share: float | None = 0.75,
     handle_invalid: str = "error",
 ) -> list:
-    """Index, encode, assemble, scale and select, as unfitted stages."""
+    """Index, encode, assemble, scale and, with a ``share``, select, as unfitted stages."""
     indexed = [name + INDEXED for name in categorical]
     stages = [index_columns(categorical, handle_invalid), encode_columns(indexed)] if categorical else []
+    selector = [] if share is None else [top_share(label=label, share=share)]
     return [
         *stages,
         assemble([*numeric, *(name + CODED for name in indexed)]),
         min_max(),
-        top_share(label=label, share=share),
+        *selector,
     ]
 
 
@@ -89,7 +90,9 @@ class ChurnFlow:
     training. ``oversample_first`` balances before the split instead, which
     lets copies of a row land on both sides. With ``handle_invalid="keep"`` a
     category that training did not see is scored as none of the known ones;
-    by default it fails the job.
+    by default it fails the job. ``select_by="f_score"`` ranks features by F
+    statistic, which unlike the p value does not run out of digits on large
+    tables.
     """
 
     numeric: Sequence[str]
@@ -107,6 +110,7 @@ class ChurnFlow:
     seed: int = 42
     max_categories: int = MAX_CATEGORIES
     handle_invalid: str = "error"
+    select_by: str = "p_value"
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = df.select(*self.keys, *self.numeric, *self.categorical, self.label)
@@ -129,6 +133,14 @@ class ChurnFlow:
             numeric, self.categorical, self.label, self.share, self.handle_invalid
         )
 
+    def fit_features(self, table: DataFrame, numeric: Sequence[str]) -> PipelineModel:
+        if self.select_by == "p_value":
+            return Pipeline(stages=self.stages(numeric)).fit(table)
+        unselected = feature_stages(numeric, self.categorical, self.label, None, self.handle_invalid)
+        scaled = Pipeline(stages=unselected).fit(table)
+        slicer = top_share_by_score(scaled.transform(table), label=self.label, share=self.share)
+        return PipelineModel(stages=[*scaled.stages, slicer])
+
     def fit(self, train: DataFrame) -> PipelineModel:
         """Fit all stages on ``train``, which is kept in memory or on disk meanwhile.
 
@@ -143,7 +155,7 @@ class ChurnFlow:
                     raise ValueError(f"too many categories to one-hot encode: {wide}")
             table = self.balanced(table)
             numeric = prune_correlated(table, self.numeric, self.threshold)
-            features = Pipeline(stages=self.stages(numeric)).fit(table)
+            features = self.fit_features(table, numeric)
             prepared = features.transform(table).select(self.label, "selectedFeatures")
             regression = logistic_regression(label=self.label, **self.regression)
             if self.grid is None:

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from featureflow.functions import slice_vector, vector_elements
 from featureflow.operators import encoding, joins
 from featureflow.operators.scaling import min_max
-from featureflow.operators.selection import anova_scores, selected_columns, top_share
+from featureflow.operators.selection import (
+    anova_scores,
+    selected_columns,
+    top_share,
+    top_share_by_score,
+)
 
 
 def colours(spark):
@@ -116,6 +121,32 @@ def test_anova_ranks_as_the_selector(spark):
     model = Pipeline(stages=stages).fit(df).stages[-1]
     kept = {r["column_name"] for r in selected_columns(spark, model, names).collect()}
     assert kept == set(sorted(names, key=scores.get, reverse=True)[:6])
+    slicer = top_share_by_score(encoding.assemble(names).transform(df), "features")
+    assert slicer.getIndices() == sorted(model.selectedFeatures)
+
+
+def test_score_of_constant_split_and_missing_columns(spark):
+    data = [(y, 7.0, float(y), None, float(i)) for i, y in enumerate([0, 0, 1, 1])]
+    df = spark.createDataFrame(data, "target int, c double, s double, m double, x double")
+    scores = {r[0]: r[1] for r in anova_scores(df, ["c", "s", "m", "x"], "target").collect()}
+    assert scores["c"] is None and scores["m"] is None
+    assert scores["s"] == float("inf") and scores["x"] == pytest.approx(8.0)
+    one = anova_scores(df.filter("target = 0"), ["x"], "target").first()
+    assert one["f_score"] is None
+
+
+def test_strong_features_are_kept_where_p_values_are_zero(spark):
+    """Four strong slots come last; all p values round to zero, so the stock order is by slot."""
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 4000)
+    names = list("abcdefgh")
+    shift = [0.6, 0.6, 0.6, 0.6, 5.0, 5.0, 5.0, 5.0]
+    data = [(int(k), *map(float, rng.normal(0, 1, 8) + k * np.array(shift))) for k in y]
+    df = spark.createDataFrame(data, "target int, " + ", ".join(f"{c} double" for c in names))
+    vectors = encoding.assemble(names).transform(df)
+    assert top_share_by_score(vectors, "features", share=0.5).getIndices() == [4, 5, 6, 7]
+    stock = top_share(features="features", share=0.5).fit(vectors)
+    assert sorted(stock.selectedFeatures) == [0, 1, 2, 3]
 
 
 def test_dimension_join_casts_and_drops(spark, rows):

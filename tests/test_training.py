@@ -84,6 +84,18 @@ def test_flow_prunes_encodes_selects_and_scores(spark, fitted):
     assert summary["auc"] > 0.6 and summary["accuracy"] > 0.6
 
 
+def test_selection_by_score_saves_and_scores(customers, tmp_path, rows):
+    flow = ChurnFlow(
+        NUMERIC, ["gender", "card"], ["id"], regression={"regParam": 0.01}, select_by="f_score"
+    )
+    train, test = flow.split(customers)
+    model = flow.fit(train)
+    assert model.stages[-1].numFeatures == int(5 * 0.75)
+    save_model(model, str(tmp_path / "model"))
+    keep = ["id", "prediction"]
+    assert rows(score(load_model(str(tmp_path / "model")), test, keep)) == rows(score(model, test, keep))
+
+
 def test_unseen_category_fails_unless_kept(spark, customers):
     odd = customers.limit(1).withColumn("card", F.lit("Violet"))
     for invalid in ("error", "keep"):
