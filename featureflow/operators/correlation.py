@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.columns import exceeds, ordered_pair
@@ -20,6 +20,7 @@ PAIRS_SCHEMA = "col_a string, col_b string, corr double"
 SHIFT_ROWS = 1_000
 COLUMNS_PER_SCAN = 80
 SHIFT_TOLERANCE = 1e4
+LAST_DIGIT = 4e-16
 
 
 def correlate(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -34,21 +35,24 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     its left column inside the task and summed against all columns, so tasks
     shuffle one row per column.
     """
+    return dim_table(df.sparkSession, _pair_rows(df, columns), PAIRS_SCHEMA)
+
+
+def _pair_rows(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, float | None]]:
     columns = list(columns)
     doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
     matrix = _complete_correlations(doubles, columns)
     if matrix is None:
         matrix = _pairwise_correlations(doubles, columns)
     index = {name: i for i, name in enumerate(columns)}
-    rows = [(a, b, matrix[index[a]][index[b]]) for a, b in combinations(sorted(columns), 2)]
-    return dim_table(df.sparkSession, rows, PAIRS_SCHEMA)
+    return [(a, b, matrix[index[a]][index[b]]) for a, b in combinations(sorted(columns), 2)]
 
 
 def _chunks(columns: Sequence[str]) -> list[list[str]]:
     return [list(columns[i : i + COLUMNS_PER_SCAN]) for i in range(0, len(columns), COLUMNS_PER_SCAN)]
 
 
-def _stacked(df: DataFrame, columns: Sequence[str], others: Sequence[str]) -> DataFrame:
+def _stacked(df: DataFrame, columns: Sequence[str], others: Sequence[str]) -> GroupedData:
     left = F.posexplode(F.array(*[F.col(name) for name in columns])).alias(SLOT, VALUE)
     return df.select(left, *others).groupBy(SLOT)
 
@@ -74,10 +78,12 @@ def _complete_correlations(df: DataFrame, columns: list[str]) -> list[list[float
             break
         shifts = {name: shifts[name] + offset[i] for i, name in enumerate(columns)}
     covariance = products - np.outer(sums, sums) / n
+    # A spread below the last digit of the values is the rounding of the shift.
+    noise = n * (LAST_DIGIT * np.array([shifts[name] for name in columns])) ** 2
+    constant = np.diag(covariance) <= noise
     with np.errstate(divide="ignore", invalid="ignore"):
         scale = np.sqrt(np.diag(covariance))
         matrix = covariance / np.outer(scale, scale)
-    constant = scale == 0
     undefined = constant[:, None] | constant[None, :]
     return np.where(undefined, None, matrix).tolist()
 
@@ -139,8 +145,9 @@ def strong_pairs(pairs: DataFrame, threshold: float = 0.6, below: float | None =
     """Unordered pairs with \\|r\\| above ``threshold``, strongest first.
 
     ``below`` leaves out correlations that reach it (1.0 drops the diagonal).
+    A NaN, which Spark sorts above every number, is not strong.
     """
-    kept = pairs.filter(exceeds("corr", threshold))
+    kept = pairs.filter(~F.isnan("corr") & exceeds("corr", threshold))
     if below is not None:
         kept = kept.filter(F.col("corr") < below)
     a, b = ordered_pair("col_a", "col_b")
@@ -162,10 +169,7 @@ def kept_columns(names: DataFrame, pairs: DataFrame, column: str = "column_name"
 
 
 def prune_correlated(df: DataFrame, columns: Sequence[str], threshold: float = 0.6) -> list[str]:
-    """``columns`` without the later name of each strong pair, in their order.
-
-    The pair list is as long as the schema is wide, whatever the rows.
-    """
-    pairs = strong_pairs(correlation_pairs(df, columns), threshold).collect()
-    dropped = {max(row["col_a"], row["col_b"]) for row in pairs}
+    """``columns`` without the later name of each strong pair, in their order."""
+    pairs = _pair_rows(df, columns)
+    dropped = {b for _, b, corr in pairs if corr is not None and abs(corr) > threshold}
     return [name for name in columns if name not in dropped]

@@ -131,12 +131,28 @@ def test_correlations_with_nulls_use_complete_pairs(spark):
     assert all(got[k] == pytest.approx(want.loc[k]) for k in got)
 
 
+def test_nan_is_not_a_strong_correlation(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, float("nan")), (3.0, 1.0)], "a double, b double")
+    pairs = correlation.correlation_pairs(df, ["a", "b"])
+    assert math.isnan(pairs.first()["corr"])
+    assert correlation.strong_pairs(pairs).count() == 0
+    assert correlation.prune_correlated(df, ["a", "b"]) == ["a", "b"]
+
+
 def test_constant_column_has_no_correlation(spark):
     df = spark.createDataFrame([(1.0, 7.0), (2.0, 7.0)], "a double, b double")
     assert pairs_of(df, ["a", "b"]) == {("a", "b"): None}
     assert pairs_of(df.limit(0), ["a", "b"]) == {("a", "b"): None}
 
 
+def test_a_constant_that_rounds_has_no_correlation(spark, monkeypatch):
+    """The shift of the constant column is off by its last digit."""
+    original = correlation._mean
+    monkeypatch.setattr(correlation, "_mean", lambda values: original(values) * (1 + 2.3e-16))
+    df = spark.range(3000).select(F.col("id").cast("double").alias("a"), F.lit(0.7).alias("b"))
+    assert pairs_of(df, ["a", "b"]) == {("a", "b"): None}
+
+
 def test_wide_tables_are_done_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(correlation, "COLUMNS_PER_SCAN", 3)
     rng = np.random.default_rng(2)
