@@ -245,7 +245,8 @@ def cluster_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     stats = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
     size = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
     placed = members.join(stats.select("cluster", size.alias("blocks")), "cluster")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(placed, "node")
+    # Members may be any share of the documents: one plan for every size, texts shuffled by id.
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(placed.hint("merge"), "node")
 
     def run(batches):
         for batch in pieces(batches, "text"):
