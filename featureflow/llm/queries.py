@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import encode_texts
+from .brown import score_texts
+from .langid import identify_languages
 from .neardup import near_duplicates
+from .toxicity import score_toxicity
+
+#: Tokenizer file of the encoding query.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,8 +24,40 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def _remainder(divisor: int) -> F.Column:
+    """CRC-32 of the document's id as text, modulo the divisor; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+def op4_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_read(spark, sf_dir, "documents"), held_out=_remainder(5) == 1)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return score_toxicity(docs, labels, held_out=_remainder(5) == 0)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(_read(spark, sf_dir, "documents"), TOKENIZER)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_read(spark, sf_dir, "documents"), held_out=_remainder(3) == 1)
+
+
 QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op4_class_scores": op4_class_scores,
+    "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
+    "op10_languages": op10_languages,
 }
 
 SQL: dict[str, str] = {}
