@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import work_path
 from .bpe import encode_texts
 from .brown import score_texts
 from .langid import identify_languages
+from .nearest import nearest_neighbours
 from .neardup import near_duplicates
+from .topk import top_scores
 from .toxicity import score_toxicity
+from .warc import archived_pages
 
 #: Tokenizer file of the encoding query.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +24,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_read(spark, sf_dir, "pages"), work_path(spark, "archives")).drop("valid")
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -33,6 +41,14 @@ def op4_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_read(spark, sf_dir, "documents"), held_out=_remainder(5) == 1)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_read(spark, sf_dir, "embeddings"))
+
+
+def op6_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_scores(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     return score_toxicity(docs, labels, held_out=_remainder(5) == 0)
@@ -53,11 +69,54 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_archives": op1_archives,
     "op2_near_duplicates": op2_near_duplicates,
     "op4_class_scores": op4_class_scores,
+    "op5_nearest": op5_nearest,
+    "op6_top_scores": op6_top_scores,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_languages": op10_languages,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_archives": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, encode(coalesce(html, '')) AS payload FROM pages),
+        d AS (SELECT page_id, octet_length(payload) AS n, sha1(html) AS digest FROM p),
+        m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS latest FROM d)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN latest IS NOT NULL AND page_id IS DISTINCT FROM latest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
+        FROM m
+    """,
+    "op5_nearest": """
+        WITH v AS (
+            SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+            GROUP BY vec_id
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]), lambda a, b: a + b) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+    """,
+    "op6_top_scores": """
+        WITH v AS (
+            SELECT vec_id, list_transform(min(CAST(embedding AS DOUBLE[])), lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            GROUP BY vec_id
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+    """,
+}
