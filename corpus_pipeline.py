@@ -1,31 +1,90 @@
-"""From raw documents to encoded training text, stage by stage."""
+"""From raw documents to encoded training text: reject, deduplicate, mix, encode.
+
+Each stage takes ``(spark, docs, sf_dir)`` with what the stage before it kept and
+returns a DataFrame. All but the last return the columns of the documents table,
+further columns of the input are left out. A stage's decisions are by row
+number of the rows at hand, so repeated ids and rows without an id keep their
+own decisions.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from featureflow.llm.bpe import encode_texts
 from featureflow.llm.graph import stored
+from featureflow.llm.langid import identify_languages
+from featureflow.llm.mixing import mix
 from featureflow.llm.neardup import near_duplicates
+from featureflow.llm.queries import quality_weights
+from featureflow.llm.toxicity import score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _keep(docs: DataFrame, decided: DataFrame, kept: F.Column) -> DataFrame:
+    """Rows of the documents whose id was kept. Rows of one id share a decision: all or none; null is an id here."""
+    ids = decided.groupBy("doc_id").agg(F.min(kept.cast("int")).alias("_kept")).where("_kept = 1").select(F.col("doc_id").alias("_id"))
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(COLUMNS)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from all labels, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = score_toxicity(docs, labels, held_out=F.lit(False))
+    return _keep(docs, scored, F.col("predicted") == 0)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents close enough to a language of the corpus; texts without a letter go."""
+    found = identify_languages(docs, held_out=F.lit(False))
+    return _keep(docs, found, ~F.col("rejected"))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates; of repeated rows of one id, one."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    some = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return some.select(COLUMNS)
+    """One document of each class of near duplicates: that with the smallest id, once. Of rows without an id, equal ones go."""
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(COLUMNS)
+    once = named.groupBy("doc_id").agg(F.min(F.struct(COLUMNS)).alias("row")).select("row.*")
+    return once.unionByName(docs.where("doc_id is null").select(COLUMNS).distinct())
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix by source takes it; those it does not take go.
+
+    Rows of one id in one source are taken equally often.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    taken = mix(docs, quality_weights(labels)).where("taken > 0")
+    times = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
+        F.min(F.expr("cast(taken div size as int)")).alias("_times")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+    copies = docs.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return copies.select(COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text that is left, and how many."""
+    return encode_texts(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "n_tokens", "ids")
 
 
 STAGES = [
+    ("toxicity", not_toxic),
+    ("language", known_language),
     ("near_duplicates", one_of_each),
+    ("mixing", mixed),
+    ("encoding", encoded),
 ]
 
-#: Trained models and exact clusters have no SQL; tests hold run() against a brute-force version.
+#: Trained models have no SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each writes its rows to the shared folder for the next one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -10,8 +10,10 @@ from ..session import work_path
 from .bpe import encode_texts
 from .brown import score_texts
 from .langid import identify_languages
+from .mixing import mix
 from .nearest import nearest_neighbours
 from .neardup import near_duplicates
+from .rollup import commit, token_count, totals
 from .topk import top_scores
 from .toxicity import score_toxicity
 from .warc import archived_pages
@@ -37,6 +39,17 @@ def _remainder(divisor: int) -> F.Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
 
 
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """Sampling weights of labelled documents: those of good quality are drawn four times as readily as bad ones."""
+    weight = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5)
+    return labels.select("doc_id", weight.alias("weight"))
+
+
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(_read(spark, sf_dir, "documents"), quality_weights(_read(spark, sf_dir, "labels")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_read(spark, sf_dir, "documents"), held_out=_remainder(5) == 1)
 
@@ -49,6 +62,24 @@ def op6_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_scores(_read(spark, sf_dir, "embeddings"))
 
 
+def op7_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in, a fourth is counted anew by the second tokenizer, a tenth goes; one batch is sent twice."""
+    docs = _read(spark, sf_dir, "documents").where("doc_id is not null")
+    kept = ["doc_id", "source", "lang", "deleted", "version", "tokens"]
+
+    def counted(rows: DataFrame, version: str, deleted: bool = False) -> DataFrame:
+        tokens = F.lit(0) if deleted else token_count("text", version)
+        return rows.withColumns({"deleted": F.lit(deleted), "version": F.lit(version), "tokens": tokens}).select(kept)
+
+    path = work_path(spark, "token-totals")
+    revised = counted(docs.where(F.pmod("doc_id", F.lit(4)) == 1), "words-2")
+    commit(counted(docs, "words-1"), path, 0)
+    commit(revised, path, 1)
+    commit(counted(docs.where(F.pmod("doc_id", F.lit(10)) == 3), "words-1", deleted=True), path, 2)
+    commit(revised, path, 1)
+    return totals(spark, path, 3)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     return score_toxicity(docs, labels, held_out=_remainder(5) == 0)
@@ -71,9 +102,11 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_archives": op1_archives,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_mix": op3_mix,
     "op4_class_scores": op4_class_scores,
     "op5_nearest": op5_nearest,
     "op6_top_scores": op6_top_scores,
+    "op7_token_totals": op7_token_totals,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_languages": op10_languages,
@@ -89,6 +122,57 @@ SQL: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
         FROM m
     """,
+    "op3_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+        ),
+        q AS (
+            SELECT doc_id, max(CASE quality WHEN 1 THEN 2.0::DOUBLE WHEN 0 THEN 0.5::DOUBLE END) AS weight FROM labels GROUP BY doc_id
+        ),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+            FROM d GROUP BY source
+        ),
+        l AS (
+            SELECT *, 2.0::DOUBLE * source_size AS lim,
+                   (1.5::DOUBLE * sum(source_size) OVER ()
+                    - coalesce(sum(2.0::DOUBLE * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM s WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST)
+        ),
+        t AS (
+            SELECT source, source_size,
+                   CASE WHEN lim <= w * level THEN lim
+                        ELSE least(lim, w * max(CASE WHEN lim > w * level THEN level END) OVER ()) END AS target
+            FROM l
+        ),
+        e AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t
+        ),
+        k AS (
+            SELECT d.*, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+                        / 4503599627370496.0::DOUBLE) / coalesce(q.weight, 1.0::DOUBLE) AS key
+            FROM d LEFT JOIN q USING (doc_id)
+        ),
+        b AS (
+            SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM k
+        )
+        SELECT doc_id, size, source_size, target,
+               CAST(size * (epochs + CASE WHEN start + size / 2.0::DOUBLE <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source
+    """,
+    "op7_token_totals": r"""
+        WITH d AS (
+            SELECT source, lang, CASE WHEN doc_id % 4 IN (1, -3) THEN 'words-2' ELSE 'words-1' END AS version, coalesce(text, '') AS text
+            FROM documents WHERE doc_id IS NOT NULL AND doc_id % 10 NOT IN (3, -7)
+        )
+        SELECT source, lang, version, count(*) AS docs,
+               CAST(sum(len(CASE version WHEN 'words-1' THEN regexp_extract_all(text, '[^\x20\x09-\x0D]+')
+                            ELSE regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}\x20\x09-\x0D]') END)) AS BIGINT) AS tokens
+        FROM d GROUP BY source, lang, version
+    """,
     "op5_nearest": """
         WITH v AS (
             SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS v FROM embeddings

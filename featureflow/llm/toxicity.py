@@ -31,8 +31,8 @@ WINDOW, STRIDE = 32, 24
 WORD_ROWS, CHAR_ROWS, SIZE, HIDDEN, ATTENTION = 1 << 15, 1 << 14, 8, 8, 8
 #: Bytes of the character sequences.
 GRAMS = (3, 5)
-#: Passes over the sample, texts of a step, Adam's rate.
-EPOCHS, STEP_TEXTS, RATE = 5, 64, 0.01
+#: Passes over the sample, steps at least (small samples get more passes), texts of a step, Adam's rate.
+EPOCHS, STEPS, STEP_TEXTS, RATE = 5, 250, 64, 0.01
 #: Windows scored at once.
 CHUNK = 2048
 
@@ -218,7 +218,9 @@ def train(texts: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     net, draw = Network(seed), np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
-    count, steps = 0, epochs * -(-len(texts) // STEP_TEXTS)
+    each = -(-len(texts) // STEP_TEXTS)
+    epochs = max(epochs, -(-STEPS // each))
+    count, steps = 0, epochs * each
     for _ in range(epochs):
         order = draw.permutation(len(texts))
         for k in range(0, len(order), STEP_TEXTS):
