@@ -33,6 +33,8 @@ WORD_ROWS, CHAR_ROWS, SIZE, HIDDEN, ATTENTION = 1 << 15, 1 << 14, 8, 8, 8
 GRAMS = (3, 5)
 #: Passes over the sample, steps at least (small samples get more passes), texts of a step, Adam's rate.
 EPOCHS, STEPS, STEP_TEXTS, RATE = 5, 250, 64, 0.01
+#: Share of the words whose own vector is left out in a training step.
+UNHEARD = 0.3
 #: Windows scored at once.
 CHUNK = 2048
 
@@ -165,10 +167,11 @@ class Network:
         parts = [self.forward(gates, x.windows[k : k + CHUNK]) for k in range(0, len(x.windows), CHUNK)]
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
-    def gradient(self, x: Inputs, windows: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradient of the mean log loss of the windows' logits."""
+    def gradient(self, x: Inputs, windows: np.ndarray, target: np.ndarray, heard: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean log loss of the windows' logits; words not ``heard`` are known by their characters only."""
         p, h, steps = self.p, HIDDEN, windows.shape[1]
         vectors = self.vectors(x)
+        vectors[:-1, :SIZE] *= heard[:, None]
         gates = self.gates(vectors)
         logit, (tape, both, seen, weight, pooled) = self.forward(gates, windows, keep=True)
         g = {k: np.zeros_like(v) for k, v in p.items()}
@@ -205,7 +208,7 @@ class Network:
         g["into"] = vectors.T @ to_gates
         to_vectors = (to_gates @ p["into"].transpose(0, 2, 1)).sum(axis=0)
         used = np.flatnonzero(np.abs(to_vectors[:-1]).sum(axis=1))
-        np.add.at(g["words"], x.word[used], to_vectors[used, :SIZE])
+        np.add.at(g["words"], x.word[used], to_vectors[used, :SIZE] * heard[used, None])
         for u in used:
             own = x.gram[x.gram_begin[u] : x.gram_begin[u + 1]]
             if len(own):
@@ -227,7 +230,8 @@ def train(texts: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
             chosen = order[k : k + STEP_TEXTS]
             x = inputs_of(words_of(texts.take(pa.array(chosen)), LETTER_WORDS))
             worst = most_toxic(net.logits(x), x.text, len(chosen))
-            grads = net.gradient(x, x.windows[worst], toxic[chosen].astype(np.float32))
+            heard = (draw.random(len(x.word)) >= UNHEARD).astype(np.float32)
+            grads = net.gradient(x, x.windows[worst], toxic[chosen].astype(np.float32), heard)
             count += 1
             rate = RATE * (1 - count / (steps + 1))
             for name, g in grads.items():
