@@ -80,7 +80,7 @@ def search(table: DataFrame, zero: bool, every: int, top: int, kind: str, method
     cuts = parts.withColumn("place", place).where((F.col("place") - 1) % WAVE == 0).orderBy("vec_id")
     bounds = [r.vec_id for r in cuts.select("vec_id").collect()]
     found = []
-    for low, high in zip(bounds, [*bounds[1:], None], strict=True):
+    for low, high in zip(bounds, [*bounds[1:], None], strict=False):  # none without queries
         wave = queries.where(F.col("vec_id") >= low)
         wave = (wave.where(F.col("vec_id") < high) if high is not None else wave).orderBy("vec_id").toArrow()
         found.append(rows.mapInArrow(_task(method, list(by_length(wave)), top), schema))
