@@ -139,7 +139,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     deals units to classes by descending frequency, so runs agree.
     """
     size = len(bigrams)
-    mass = bigrams.sum(axis=0)
+    mass, led = bigrams.sum(axis=0), bigrams.sum(axis=1)
     order = [u for u in np.argsort(-mass, kind="stable") if u != size - 1 and mass[u]]
     of = np.zeros(size, np.int64)
     of[: size - 1] = 1 + np.arange(size - 1) % (classes - 1)
@@ -148,21 +148,24 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     member[np.arange(size), of] = 1
     after, before = bigrams @ member, bigrams.T @ member  # unit with following, with preceding classes
     table = member.T @ after
+    rows, columns = member.T @ led, member.T @ mass
     for _ in range(passes):
         moved = 0
         for u in order:
-            old, twice, n = of[u], bigrams[u, u], mass[u]
+            old, twice = of[u], bigrams[u, u]
             r, left = after[u].copy(), before[u].copy()
             table[old] -= r
             table[:, old] -= left
             table[old, old] += twice
             r[old] -= twice
             left[old] -= twice
-            rows, columns, diagonal = table.sum(axis=1), table.sum(axis=0), table.diagonal()
+            rows[old] -= led[u]
+            columns[old] -= mass[u]
+            diagonal = table.diagonal()
             gain = (_xlogx(table + r) - _xlogx(table)).sum(axis=1) + (_xlogx(table.T + left) - _xlogx(table.T)).sum(axis=1)
             gain -= _xlogx(diagonal + r) + _xlogx(diagonal + left) - _xlogx(diagonal)
             gain += _xlogx(diagonal + r + left + twice)
-            gain -= _xlogx(rows + n) - _xlogx(rows) + _xlogx(columns + n) - _xlogx(columns)
+            gain -= _xlogx(rows + led[u]) - _xlogx(rows) + _xlogx(columns + mass[u]) - _xlogx(columns)
             gain[0] = -np.inf
             new = int(gain.argmax())
             if gain[new] <= gain[old] + 1e-9 * abs(gain[old]):
@@ -172,6 +175,8 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
             table[new] += r
             table[:, new] += left
             table[new, new] -= twice
+            rows[new] += led[u]
+            columns[new] += mass[u]
             if new != old:
                 moved += 1
                 of[u] = new
