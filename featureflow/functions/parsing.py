@@ -21,13 +21,23 @@ def split_fields(value: Column | str, sep: str = ",", drop_trailing: bool = True
     """Array of the fields of a line; trailing empty fields are dropped by default."""
     text = F.replace(value, F.lit('"'), F.lit(""))
     if drop_trailing:
-        text = F.rtrim(text, F.lit(sep))
+        text = F.regexp_replace(text, f"(?:{re.escape(sep)})+$", "")
     return F.split(text, re.escape(sep))
 
 
-def _field(i: int, field: T.StructField) -> Column:
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+#: A number with decimals, of which a lenient cast keeps the whole part.
+WHOLE_PART = r"^\s*([+-]?\d+)\.\d*\s*$"
+
+
+def _field(i: int, field: T.StructField, lenient: bool = False) -> Column:
+    """The field as its type, or null. Integral fields drop decimals (``1.5`` is 1) if ``lenient``."""
     token = F.get(F.col(FIELDS), F.lit(i))
-    return token if isinstance(field.dataType, T.StringType) else token.try_cast(field.dataType)
+    if isinstance(field.dataType, T.StringType):
+        return token
+    if lenient and isinstance(field.dataType, INTEGRAL):
+        token = F.coalesce(F.nullif(F.regexp_extract(token, WHOLE_PART, 1), F.lit("")), token)
+    return token.try_cast(field.dataType)
 
 
 def _problem(schema: T.StructType) -> Column:
@@ -45,8 +55,8 @@ def _problem(schema: T.StructType) -> Column:
     return F.coalesce(short, *wrong)
 
 
-def _typed(schema: T.StructType) -> list[Column]:
-    return [_field(i, f).alias(f.name) for i, f in enumerate(schema)]
+def _typed(schema: T.StructType, lenient: bool = False) -> list[Column]:
+    return [_field(i, f, lenient).alias(f.name) for i, f in enumerate(schema)]
 
 
 def parse_csv_line(
@@ -60,14 +70,14 @@ def parse_csv_line(
 ) -> DataFrame:
     """Columns of ``schema`` (after ``keep``) parsed from a text column.
 
-    permissive: missing and malformed fields are null.
+    permissive: missing and malformed fields are null; integral fields drop decimals.
     strict: such a line fails the job, whatever the session's ANSI setting,
     as soon as any parsed column is used.
-    tag: as permissive, plus the line and the reason in ``_problem``.
+    tag: malformed fields are null, integral ones with decimals too, plus the line and the reason in ``_problem``.
     """
     fields = df.select(*keep, column, split_fields(column, sep, drop_trailing).alias(FIELDS))
     if mode == "permissive":
-        return fields.select(*keep, *_typed(schema))
+        return fields.select(*keep, *_typed(schema, lenient=True))
     if mode == "strict":
         # The check sits in the array every parsed column is taken from: once per
         # row, where a filter would be pushed down and split the line again.

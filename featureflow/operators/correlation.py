@@ -40,14 +40,17 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _pair_rows(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, float | None]]:
     columns = list(columns)
-    doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    matrix = _complete_correlations(doubles, columns)
-    if matrix is None:
-        matrix = _pairwise_correlations(doubles, columns)
+    matrix = _matrix(df, columns)
     index = {name: i for i, name in enumerate(columns)}
     return [(a, b, matrix[index[a]][index[b]]) for a, b in combinations(sorted(columns), 2)]
 
 
+def _matrix(df: DataFrame, columns: list[str]) -> list[list[float | None]]:
+    doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    matrix = _complete_correlations(doubles, columns)
+    return _pairwise_correlations(doubles, columns) if matrix is None else matrix
+
+
 def _chunks(columns: Sequence[str]) -> list[list[str]]:
     return [list(columns[i : i + COLUMNS_PER_SCAN]) for i in range(0, len(columns), COLUMNS_PER_SCAN)]
 
@@ -131,7 +134,23 @@ def _pairwise_correlations(df: DataFrame, columns: list[str]) -> list[list[float
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The whole matrix in long form, every ordered pair including a column with itself."""
+    """The whole matrix in long form, every ordered pair including a column with itself.
+
+    From the same scan and with the same treatment of nulls as
+    ``correlation_pairs``.
+    """
+    columns = list(columns)
+    matrix = _matrix(df, columns)
+    rows = [
+        (a, b, 1.0 if i == j and matrix[i][j] is not None else matrix[i][j])
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
+    return dim_table(df.sparkSession, rows, PAIRS_SCHEMA)
+
+
+def assembled_correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """As ``correlation_matrix``, by the library's row matrix: a second method; columns without nulls only."""
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     matrix = Correlation.corr(assembler.transform(df.select(*columns)), "features").first()[0]
     values = matrix.toArray()

@@ -2,38 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows.
+def as_key(value: Column, given: T.DataType, kind: T.DataType) -> Column:
+    """``value`` as the dimension's key type; null where it is no such key.
 
-    A plain count reads no column; a ``limit`` before it would move up to
-    ``rows`` rows of every partition into one task.
+    Integers compare with integers as they are, so their statistics reach the
+    scan and no digit is lost. Other values are whole numbers if they equal
+    one: text such as ``"0.0"`` is read as an exact decimal, or as a double
+    where it has an exponent.
     """
-    return df.count() <= rows
+    if not isinstance(kind, INTEGRAL):
+        return value if given == kind else value.try_cast(kind)
+    if isinstance(given, INTEGRAL):
+        return value
+    if isinstance(given, T.StringType):
+        exact = value.try_cast("decimal(38,18)")
+        whole = F.when(exact == F.floor(exact), exact.try_cast(kind))
+        number = value.try_cast("double")
+        return F.coalesce(value.try_cast(kind), whole, F.when(exact.isNull(), _whole(number, kind)))
+    return _whole(value, kind)
+
 
+def _whole(number: Column, kind: T.DataType) -> Column:
+    return F.when(number == F.floor(number), number.try_cast(kind))
 
-def join_dimension(
-    df: DataFrame, dim: DataFrame, key: str, dim_key: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+
+def join_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
     """Rows of ``df`` with their dimension row; rows without one drop.
 
     Keys are compared as the dimension's type by an explicit lenient cast, as
-    a label index printed as text (``"0.0"``) does not cast to an integer. A
-    dimension of checked size is broadcast; a larger one is left to the
-    adaptive join, which splits partitions of hot keys.
+    a label index printed as text (``"0.0"``) does not cast to an integer. No
+    job counts the dimension: Spark broadcasts it if its size in bytes, from
+    the plan or as measured at run time, is below
+    ``spark.sql.autoBroadcastJoinThreshold``, and else splits the partitions of
+    hot keys.
     """
-    kind = dim.schema[dim_key].dataType
-    value = F.col(key)
-    if kind.typeName() in ("byte", "short", "integer", "long"):
-        number = value.try_cast("double")
-        whole = number.try_cast(kind)
-        value = F.when(whole.cast("double") == number, whole)
-    else:
-        value = value.try_cast(kind)
-    side = F.broadcast(dim) if is_small(dim, broadcast_rows) else dim
-    return df.join(side, value == side[dim_key], "inner")
+    value = as_key(F.col(key), df.schema[key].dataType, dim.schema[dim_key].dataType)
+    return df.join(dim, value == dim[dim_key], "inner")

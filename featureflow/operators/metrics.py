@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import Any
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder
 from ..sources.dimensions import dim_table
 
 
@@ -53,26 +51,6 @@ def multiclass_accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame
     return df.agg(F.avg(hit).alias("accuracy")).withColumn("test_error", 1 - F.col("accuracy"))
 
 
-RANKED_SCHEMA = "first_score double, pos double, neg double, won double"
-
-
-def _ranked_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs won inside one range of ascending scores, half a point for a tie."""
-    first, pos, neg, won = None, 0.0, 0.0, 0.0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        p, n = (batch.column(i).to_numpy().astype(float) for i in (1, 2))
-        below = neg + np.cumsum(n) - n
-        won += float(np.dot(p, below + n / 2))
-        first = batch.column(0)[0].as_py() if first is None else first
-        pos, neg = pos + float(p.sum()), neg + float(n.sum())
-    if first is not None:
-        yield pa.RecordBatch.from_pydict(
-            {"first_score": [first], "pos": [pos], "neg": [neg], "won": [won]}
-        )
-
-
 def area_under_roc(df: DataFrame, label: str, score: str) -> float | None:
     """Exact area under ROC: the share of (positive, negative) pairs ranked right.
 
@@ -91,12 +69,20 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> float | None:
         .groupBy("s")
         .agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     )
-    ranges = counts.orderBy("s").mapInArrow(_ranked_pairs, RANKED_SCHEMA).collect()
+    shared_folder(df.sparkSession)
+    # Sorted ranges and their numbers come from one run of the sort, kept in the checkpoint.
+    ordered = counts.orderBy("s").withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_id", 33)
+    below = F.sum("neg").over(Window.partitionBy("part").orderBy("_id")) - F.col("neg")
+    won = F.col("pos") * (below + F.col("neg") / 2)
+    ranges = ordered.withColumn("part", part).withColumn("won", won).groupBy("part").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won")
+    )
     below = positives = won = 0.0
-    for part in sorted(ranges, key=lambda r: r["first_score"]):
-        won += part["won"] + part["pos"] * below
-        below += part["neg"]
-        positives += part["pos"]
+    for row in sorted(ranges.collect(), key=lambda r: r["part"]):
+        won += row["won"] + row["pos"] * below
+        below += row["neg"]
+        positives += row["pos"]
     return won / (positives * below) if positives and below else None
 
 

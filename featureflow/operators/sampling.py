@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 100
+#: Values of the key hash: a share is met to one part in four thousand million.
+HASHES = 1 << 32
 
 
-def hash_bucket(keys: Sequence[str], salt: str = "") -> Column:
-    """Bucket 0..99 of a key, the same in every run, engine and cluster size."""
+def key_hash(keys: Sequence[str], salt: str = "") -> Column:
+    """Number from 0 to ``HASHES`` - 1, the same in every run, engine and cluster size."""
     text = F.concat_ws("|", *keys, *([F.lit(salt)] if salt else []))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % BUCKETS
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
 def hash_split(
@@ -23,9 +24,9 @@ def hash_split(
 
     All rows of a key land in the same part.
     """
-    bucket = hash_bucket(keys, salt)
-    limit = round(share * BUCKETS)
-    return df.filter(bucket < limit), df.filter(bucket >= limit)
+    place = key_hash(keys, salt)
+    limit = round(share * HASHES)
+    return df.filter(place < limit), df.filter(place >= limit)
 
 
 def random_split(

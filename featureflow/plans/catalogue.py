@@ -188,16 +188,18 @@ def remaining_keys(spark, folder):
     return sets.remaining_rows(customers, orders.select("o_custkey"))
 
 
-BUCKET_SQL = "('0x' || md5(o_orderkey::VARCHAR)[1:8])::BIGINT % 100"
+KEY_HASH_SQL = "('0x' || md5(o_orderkey::VARCHAR)[1:8])::BIGINT"
+SPLIT_SHARE = 0.705
 
 
 @query(
     "GEN3",
-    f"SELECT o_orderkey, CASE WHEN {BUCKET_SQL} < 70 THEN 'train' ELSE 'test' END AS part FROM orders",
+    f"""SELECT o_orderkey, CASE WHEN {KEY_HASH_SQL} < round({SPLIT_SHARE} * 4294967296)
+               THEN 'train' ELSE 'test' END AS part FROM orders""",
 )
 def hash_split(spark, folder):
     train, test = sampling.hash_split(
-        read_table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"]
+        read_table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"], SPLIT_SHARE
     )
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
@@ -510,7 +512,8 @@ PROFILE_TYPES = {
     ),
 )
 def column_profile(spark, folder):
-    return profile.column_profile(read_table(spark, folder, "orders"))
+    orders = read_table(spark, folder, "orders")
+    return profile.column_profile(orders, exact=orders.columns)
 
 
 # SQL of the measured columns, valid in both systems.
@@ -584,7 +587,7 @@ def corr_agree(spark, folder):
     table = measures(spark, folder)
     one = correlation.strong_pairs(correlation.correlation_pairs(table, MEASURE_NAMES))
     two = correlation.strong_pairs(
-        correlation.correlation_matrix(table, MEASURE_NAMES), below=1.0
+        correlation.assembled_correlation_matrix(table, MEASURE_NAMES), below=1.0
     )
     return correlation.agreeing_pairs(one, two)
 

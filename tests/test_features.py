@@ -157,10 +157,22 @@ def test_dimension_join_casts_and_drops(spark, rows):
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-def test_large_dimension_is_not_hinted(spark):
-    dim = spark.range(50).withColumnRenamed("id", "k")
-    assert not joins.is_small(dim, 49) and joins.is_small(dim, 50)
+def test_dimension_join_is_planned_by_size(spark):
     facts = spark.range(10).withColumn("f", F.col("id"))
-    joined = joins.join_dimension(facts, dim, "f", "k", broadcast_rows=49)
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    joined = joins.join_dimension(facts, dim, "f", "k")
     assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
     assert joined.count() == 10
+
+
+def test_dimension_join_keeps_every_digit(spark, rows):
+    big = 9007199254740993
+    dim = spark.createDataFrame([(big - 1, "wrong"), (big, "right"), (30, "thirty")], "k bigint, name string")
+    numbers = spark.createDataFrame([(big,), (30,), (None,)], "f bigint")
+    assert rows(joins.join_dimension(numbers, dim, "f", "k").select("name")) == [("right",), ("thirty",)]
+    texts = spark.createDataFrame([(str(big),), (f"{big}.0",), ("3e1",), ("30.5",), ("x",)], "f string")
+    assert rows(joins.join_dimension(texts, dim, "f", "k").select("name")) == [("right",), ("right",), ("thirty",)]
+    small = spark.createDataFrame([(1, "one")], "k int, name string")
+    wide = spark.createDataFrame([(1,), (1 + (1 << 32),)], "f bigint")
+    assert rows(joins.join_dimension(wide, small, "f", "k").select("f")) == [(1,)]
+
