@@ -21,7 +21,6 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,11 +76,12 @@ def write_archives(records: DataFrame, path: str) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                data = member(r["record_id"], r["url"], r["payload"] or b"", r["digest"], r["refers_to"])
-                out.append((data if data[-1] == 0 else data + _EMPTY)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            for begin in range(0, batch.num_rows, 256):
+                out = []
+                for r in batch.slice(begin, 256).to_pylist():
+                    data = member(r["record_id"], r["url"], r["payload"] or b"", r["digest"], r["refers_to"])
+                    out.append((data if data[-1] == 0 else data + _EMPTY)[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     columns = ["record_id", "url", "payload", "digest", "refers_to"]
     rows = records.select(columns).mapInArrow(run, "value binary")
@@ -195,9 +195,10 @@ class Reader:
         return self.loose + (self.member.pieces if self.member else [])
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Records of the archives under ``path``, which Spark must be able to read: columns of ``RECORD``.
 
+    Without ``payloads`` that column is null, and only what was measured leaves the reading tasks.
     Members that cannot be decoded (cut off or damaged) have no row. ``valid`` tells
     whether lengths and digest agree with the header. Empty folders give an empty table.
     """
@@ -219,6 +220,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def pack(rows: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist([{k: r.get(k) for k in arrow.names} for r in rows], schema=arrow)
 
+    def found(reader: Reader, piece: bytes) -> list[dict]:
+        records = list(reader.piece(piece))
+        return records if payloads else [r | {"payload": None} for r in records]
+
     def close(reader: Reader | None, at) -> list[dict]:
         if reader is None:
             return []
@@ -236,25 +241,30 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     reader, at = Reader(keep_loose=True), (file, begin)
                     if begin == 0:
                         continue  # what stands before the file's first delimiter
-                found = list(reader.piece(piece))
-                size += sum(len(r["payload"] or b"") for r in found)
-                rows += found
-                if size > 16 << 20:
+                records = found(reader, piece)
+                size += sum(len(r["payload"] or b"") for r in records)
+                rows += records
+                if size > 4 << 20:
                     yield pack(rows)
                     rows, size = [], 0
             yield pack(rows)
         yield pack(close(reader, at))
 
-    def stitch(key: tuple, loose: pd.DataFrame) -> pd.DataFrame:
+    def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Members over range borders: an unfinished member's pieces, then the loose ones of the ranges after it."""
-        reader, out = Reader(keep_loose=False), []
-        for piece in loose.sort_values(["range", "place"])["loose"]:
-            out += reader.piece(bytes(piece))
-        return pd.DataFrame(out, columns=RECORD_NAMES)
+        reader, at = None, None
+        for batch in batches:
+            rows: list[dict] = []
+            for file, piece in zip(batch.column("file").to_pylist(), batch.column("loose").to_pylist(), strict=True):
+                if file != at:
+                    reader, at = Reader(keep_loose=False), file
+                rows += found(reader, piece)
+            yield pack(rows)
 
     read = pieces.mapInArrow(run, schema)
-    whole = read.where("loose is null").select(RECORD_NAMES)
-    return whole.union(read.where("loose is not null").groupBy("file").applyInPandas(stitch, RECORD))
+    loose = read.where("loose is not null").select("file", "range", "place", "loose").repartition("file")
+    stitched = loose.sortWithinPartitions("file", "range", "place").mapInArrow(stitch, schema)
+    return read.where("loose is null").select(RECORD_NAMES).union(stitched.select(RECORD_NAMES))
 
 
 def deduplicated_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
@@ -296,7 +306,7 @@ def archived_pages(pages: DataFrame, path: str) -> DataFrame:
     there is one. No pages give no rows.
     """
     write_archives(deduplicated_records(pages), path)
-    return read_archives(pages.sparkSession, path).select(
+    return read_archives(pages.sparkSession, path, payloads=False).select(
         page_of("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",
