@@ -4,23 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
+from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import (
     IndexToString,
     OneHotEncoder,
+    OneHotEncoderModel,
     StringIndexer,
     StringIndexerModel,
     VectorAssembler,
     VectorIndexer,
     VectorIndexerModel,
 )
+from pyspark.ml.util import (
+    DefaultParamsReader,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import shared_folder, work_path
 from ..sources.dimensions import dim_table
 
+# Suffixes of the columns that the steps add.
 INDEXED, CODED = "_Indexed", "_Coded"
-MAX_CATEGORIES = 100_000
 HOT_CATEGORIES = 10_000
 
 
@@ -82,14 +93,6 @@ def vector_categories(spark, model: VectorIndexerModel) -> DataFrame:
     return dim_table(spark, rows, "slot int, value double, index int")
 
 
-def too_many_categories(
-    df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES
-) -> list[str]:
-    """Columns whose values do not belong in a driver-side label list."""
-    counts = df.agg(*[F.approx_count_distinct(name).alias(name) for name in columns]).first()
-    return [name for name in columns if counts[name] > limit]
-
-
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """Value, count and index of a column with any number of categories.
 
@@ -135,3 +138,93 @@ def attach_index(
     is_open = F.col(name).isNull() & F.col(column).isNotNull()
     rare = matched.filter(is_open).drop(name).join(tail, column, "left")
     return matched.filter(~is_open).unionByName(rare)
+
+
+class CategoryIndexer(Estimator):
+    """Indexer of columns with any number of categories; same order as ``index_columns``.
+
+    The fitted model holds one table per column, not a label list on the
+    driver, and looks categories up by join. ``handle_invalid``: a null or a
+    category that training did not see fails the job (``error``) or gets the
+    index after the last one (``keep``).
+    """
+
+    def __init__(self, columns: Sequence[str], handle_invalid: str = "error"):
+        super().__init__()
+        self.columns, self.handle_invalid = list(columns), handle_invalid
+
+    def _fit(self, dataset: DataFrame) -> CategoryIndexModel:
+        tables, sizes = [], []
+        for column in self.columns:
+            index = category_index(dataset, column).select(F.col(column).alias("value"), "index")
+            path = work_path(dataset.sparkSession, "categories")
+            index.write.parquet(path)
+            tables.append(dataset.sparkSession.read.schema(index.schema).parquet(path))
+            sizes.append(tables[-1].count())
+        return CategoryIndexModel(self.columns, self.handle_invalid, tables, sizes)
+
+
+class CategoryIndexModel(Model, MLWritable, MLReadable):
+    """Adds ``<column>_Indexed``; saved with its tables."""
+
+    def __init__(self, columns: Sequence[str], handle_invalid: str, tables: list[DataFrame], sizes: list[int]):
+        super().__init__()
+        self.columns, self.handle_invalid = list(columns), handle_invalid
+        self.tables, self.sizes = tables, sizes
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        for column, table, size in zip(self.columns, self.tables, self.sizes, strict=True):
+            name = column + INDEXED
+            lookup = table.select(F.col("value").alias(f"_{name}"), F.col("index").cast("double").alias(name))
+            # Spark broadcasts a small table; a large one is joined by shuffle, hot categories split.
+            dataset = dataset.join(lookup, F.col(column) == F.col(f"_{name}"), "left").drop(f"_{name}")
+            if self.handle_invalid == "keep":
+                missing = F.lit(float(size))
+            else:
+                text = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+                missing = F.raise_error(F.concat(F.lit(f"Unseen label of {column}: "), text)).cast("double")
+            dataset = dataset.withColumn(name, F.coalesce(name, missing))
+        return dataset
+
+    def coder(self, drop_last: bool = True) -> OneHotEncoderModel:
+        """One-hot stage of these columns, of the widths known from the tables: no scan, sparse at any width."""
+        extra = 1 if self.handle_invalid == "keep" else 0
+        context = SparkContext._active_spark_context
+        sizes = context._gateway.new_array(context._jvm.int, len(self.sizes))
+        for k, size in enumerate(self.sizes):
+            sizes[k] = size + extra
+        model = context._jvm.org.apache.spark.ml.feature.OneHotEncoderModel(f"OneHotEncoder_{self.uid}", sizes)
+        indexed = [c + INDEXED for c in self.columns]
+        coder = OneHotEncoderModel(model)
+        coder._resetUid(model.uid())
+        coder._set(inputCols=indexed, outputCols=[c + CODED for c in indexed], dropLast=drop_last, handleInvalid="error")
+        return coder
+
+    def write(self) -> CategoryIndexWriter:
+        return CategoryIndexWriter(self)
+
+    @classmethod
+    def read(cls) -> CategoryIndexReader:
+        return CategoryIndexReader()
+
+
+class CategoryIndexWriter(MLWriter):
+    def __init__(self, model: CategoryIndexModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        extra = {"columns": m.columns, "handleInvalid": m.handle_invalid, "sizes": m.sizes}
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata=extra)
+        for k, table in enumerate(m.tables):
+            table.write.parquet(f"{path}/tables/{k}")
+
+
+class CategoryIndexReader(MLReader):
+    def load(self, path: str) -> CategoryIndexModel:
+        saved = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        tables = [self.sparkSession.read.parquet(f"{path}/tables/{k}") for k in range(len(saved["columns"]))]
+        model = CategoryIndexModel(saved["columns"], saved["handleInvalid"], tables, saved["sizes"])
+        model._resetUid(saved["uid"])
+        return model

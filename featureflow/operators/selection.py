@@ -11,6 +11,7 @@ from pyspark.ml.feature import (
     VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +34,11 @@ def top_share(
     )
 
 
-def _f_scores(stacked: DataFrame, label: str) -> DataFrame:
+def _f_scores(groups: DataFrame) -> DataFrame:
     """Slot and F statistic; infinite for perfectly split groups, null where undefined.
 
-    One scan gives count, mean and variance per (column, group); the rest
-    works on that small table.
+    ``groups`` has one row per slot and label: count, mean and variance.
     """
-    groups = stacked.groupBy(SLOT, label).agg(
-        F.count(VALUE).alias("n"), F.mean(VALUE).alias("mean"), F.var_pop(VALUE).alias("variance")
-    )
     slot = Window.partitionBy(SLOT)
     total = F.sum(F.col("n") * F.col("mean")).over(slot)
     grand = F.try_divide(total, F.sum("n").over(slot))
@@ -58,9 +55,28 @@ def _f_scores(stacked: DataFrame, label: str) -> DataFrame:
     return spread.select(SLOT, score.alias("f_score"))
 
 
+def _stacked_groups(stacked: DataFrame, label: str) -> DataFrame:
+    return stacked.groupBy(SLOT, label).agg(
+        F.count(VALUE).alias("n"), F.mean(VALUE).alias("mean"), F.var_pop(VALUE).alias("variance")
+    )
+
+
+def _vector_groups(df: DataFrame, features: str, label: str) -> DataFrame:
+    """Count, mean and variance of every slot by label, from sums over the stored entries of the vectors."""
+    sums = Summarizer.metrics("count", "mean", "variance").summary(F.col(features)).alias("s")
+    groups = df.groupBy(label).agg(sums)
+    n = F.col("s.count")
+    slots = F.arrays_zip(
+        vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("variance")
+    )
+    rows = groups.select(n.alias("n"), F.posexplode(slots).alias(SLOT, "slot"))
+    variance = F.col("slot.variance") * F.try_divide(F.col("n") - 1, F.col("n"))
+    return rows.select(SLOT, "n", F.col("slot.mean").alias("mean"), variance.alias("variance"))
+
+
 def anova_scores(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """F statistic of each column across the label groups."""
-    scores = _f_scores(stack_columns(df, columns, keep=[label]), label)
+    scores = _f_scores(_stacked_groups(stack_columns(df, columns, keep=[label]), label))
     return scores.select(per_slot(columns).alias("column_name"), "f_score")
 
 
@@ -75,10 +91,10 @@ def top_share_by_score(
 
     Both rank alike until p values round to zero, which on large tables they
     do for most features: ``top_share`` then keeps the first slots, whatever
-    their strength. Slots keep their order, as there.
+    their strength. Slots keep their order, as there. Zeros of sparse vectors
+    cost nothing: one row per label is shuffled, no row per slot.
     """
-    slots = F.posexplode(vector_to_array(features)).alias(SLOT, VALUE)
-    scores = _f_scores(df.select(label, slots), label).collect()
+    scores = _f_scores(_vector_groups(df, features, label)).collect()
     # One row per vector slot.
     ranked = sorted(scores, key=lambda r: (-(-1.0 if r["f_score"] is None else r["f_score"]), r[SLOT]))
     best = sorted(row[SLOT] for row in ranked[: int(len(ranked) * share)])

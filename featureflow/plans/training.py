@@ -20,14 +20,13 @@ from ..operators.correlation import prune_correlated
 from ..operators.encoding import (
     CODED,
     INDEXED,
-    MAX_CATEGORIES,
+    CategoryIndexer,
     assemble,
     encode_columns,
     index_columns,
     index_label,
     index_to_label,
     index_vector,
-    too_many_categories,
 )
 from ..operators.sampling import hash_split, random_split
 from ..operators.scaling import min_max
@@ -90,9 +89,13 @@ class ChurnFlow:
     training. ``oversample_first`` balances before the split instead, which
     lets copies of a row land on both sides. With ``handle_invalid="keep"`` a
     category that training did not see is scored as none of the known ones;
-    by default it fails the job. ``select_by="f_score"`` ranks features by F
-    statistic, which unlike the p value does not run out of digits on large
-    tables.
+    by default it fails the job. Features are ranked by F statistic;
+    ``select_by="p_value"`` takes the stock selector, whose p values round to
+    zero on large tables, after which it keeps the first slots.
+
+    Any number of categories is encoded: they are indexed by tables that are
+    saved with the model, and coded as sparse vectors next to the scaled
+    numbers. Codes are 0 or 1 already and are not scaled.
     """
 
     numeric: Sequence[str]
@@ -108,9 +111,8 @@ class ChurnFlow:
     grid: dict | None = None
     parallelism: int = 2
     seed: int = 42
-    max_categories: int = MAX_CATEGORIES
     handle_invalid: str = "error"
-    select_by: str = "p_value"
+    select_by: str = "f_score"
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = df.select(*self.keys, *self.numeric, *self.categorical, self.label)
@@ -134,12 +136,21 @@ class ChurnFlow:
         )
 
     def fit_features(self, table: DataFrame, numeric: Sequence[str]) -> PipelineModel:
+        coded: list[Transformer] = []
+        if self.categorical:
+            index = CategoryIndexer(self.categorical, self.handle_invalid).fit(table)
+            coded = [index, index.coder()]
+        scaled = [assemble(numeric, "numbers"), min_max("numbers", "scaledNumbers")] if numeric else []
+        codes = [name + INDEXED + CODED for name in self.categorical]
+        parts = [*(["scaledNumbers"] if numeric else []), *codes]
+        stages = [*coded, *scaled, assemble(parts, "scaledFeatures")]
+        features = Pipeline(stages=stages).fit(table)
+        ready = features.transform(table)
         if self.select_by == "p_value":
-            return Pipeline(stages=self.stages(numeric)).fit(table)
-        unselected = feature_stages(numeric, self.categorical, self.label, None, self.handle_invalid)
-        scaled = Pipeline(stages=unselected).fit(table)
-        slicer = top_share_by_score(scaled.transform(table), label=self.label, share=self.share)
-        return PipelineModel(stages=[*scaled.stages, slicer])
+            selector = top_share(label=self.label, share=self.share).fit(ready)
+        else:
+            selector = top_share_by_score(ready, label=self.label, share=self.share)
+        return PipelineModel(stages=[*features.stages, selector])
 
     def fit(self, train: DataFrame) -> PipelineModel:
         """Fit all stages on ``train``, which is kept in memory or on disk meanwhile.
@@ -149,10 +160,6 @@ class ChurnFlow:
         stages the winner was trained behind.
         """
         with held(train) as table:
-            if self.categorical:
-                wide = too_many_categories(table, self.categorical, self.max_categories)
-                if wide:
-                    raise ValueError(f"too many categories to one-hot encode: {wide}")
             table = self.balanced(table)
             numeric = prune_correlated(table, self.numeric, self.threshold)
             features = self.fit_features(table, numeric)

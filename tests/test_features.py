@@ -79,11 +79,6 @@ def test_category_index_of_any_size(spark, rows):
         assert all(i == (got[v][0] if v else None) for v, i in pairs)
 
 
-def test_too_many_categories(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
-    assert encoding.too_many_categories(df, ["a", "b"], limit=100) == ["a"]
-
-
 def test_vector_access(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "v array<double>")
     df = df.select(array_to_vector("v").alias("v"))

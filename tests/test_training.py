@@ -132,11 +132,27 @@ def test_scoring_reads_only_what_the_model_needs(fitted, tmp_path):
     assert "unused" not in schema and "flag" not in schema and "age" in schema
 
 
-def test_too_many_categories_is_refused(customers):
-    wide = customers.withColumn("card", F.col("id").cast("string"))
-    flow = ChurnFlow(NUMERIC, ["card"], ["id"], max_categories=100)
-    with pytest.raises(ValueError, match="card"):
-        flow.fit(flow.split(wide)[0])
+def test_any_number_of_categories_is_encoded(spark, tmp_path, rows):
+    """Beyond a hundred thousand: fitted, saved, loaded and scored; a new category counts as none of them."""
+    rows_in = spark.range(120_000).select(
+        F.col("id").cast("int").alias("id"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("card"),
+        (F.col("id") % 7).cast("double").alias("age"),
+        (F.col("id") % 7 > 4).cast("int").alias("target"),
+    )
+    flow = ChurnFlow(
+        ["age"], ["card"], ["id"], train_share=1.0, share=0.5, handle_invalid="keep", regression={"regParam": 0.01, "maxIter": 5}
+    )
+    model = flow.fit(rows_in)
+    assert model.stages[-1].numFeatures == 120_001 // 2
+    save_model(model, str(tmp_path / "model"))
+    again = load_model(str(tmp_path / "model"))
+    some = rows_in.limit(20).unionByName(rows_in.limit(1).withColumns({"id": F.lit(-1), "card": F.lit("new")}))
+    keep = ["id", "prediction"]
+    scored = rows(score(again, some, keep))
+    assert scored == rows(score(model, some, keep))
+    found = dict(scored)
+    assert (found[0], found[6]) == (0.0, 1.0) and len(found) == 21
 
 
 def test_tuning(spark, customers, flow):
