@@ -47,7 +47,8 @@ from ..sinks import (
     write_messages,
 )
 from ..sources import dim_table, load_model, read_csv, read_libsvm, read_table, read_table_stream
-from ..streaming import score_batches, score_keys, score_labels
+from ..sources.streams import text_values
+from ..streaming import score_batches, score_keys, score_labels, send_batches, set_broken_aside
 from .held import held
 from .scoring import score, write_positive_ids
 from .training import (
@@ -301,8 +302,11 @@ EVENT_SCHEMA = record("event_id int, event_type string, value double, user_id in
 
 
 def event_lines(spark: SparkSession, folder: str, broken: bool) -> DataFrame:
+    return lines_of(read_table(spark, folder, "events"), broken)
+
+
+def lines_of(events: DataFrame, broken: bool) -> DataFrame:
     """Events as text lines; ``broken`` spoils a part of them in four ways."""
-    events = read_table(spark, folder, "events")
     kind = F.format_string('"%s"', "event_type")
     line = F.concat_ws(",", "event_id", kind, "value", "user_id")
     if broken:
@@ -342,16 +346,19 @@ def parse_permissive(spark, folder):
     return parse_csv_line(event_lines(spark, folder, True), "line", EVENT_SCHEMA)
 
 
-@query(
-    "SCL6",
-    f"""{BROKEN_SQL},
+JUDGED_SQL = f"""{BROKEN_SQL},
     judged AS (
         SELECT *, CASE
             WHEN n < 4 THEN 'expected 4 fields, found ' || n
             WHEN event_id IS NULL THEN 'event_id is not int'
             WHEN value IS NULL THEN 'value is not double'
             WHEN user_id IS NULL THEN 'user_id is not int' END AS problem
-        FROM parsed)
+        FROM parsed)"""
+
+
+@query(
+    "SCL6",
+    f"""{JUDGED_SQL}
     SELECT id, CASE WHEN problem IS NULL THEN 'good' ELSE 'bad' END AS part,
            CASE WHEN problem IS NULL THEN value END AS value,
            CASE WHEN problem IS NOT NULL THEN line END AS line, problem
@@ -1118,7 +1125,7 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return events.select(join_fields("event_id", "event_type", "value", "user_id").alias("value"))
 
 
-@query("STR1 STR4 STR5 STR6 STR7 SRC8", STREAM_SQL)
+@query("STR1 STR4 STR5 STR7", STREAM_SQL)
 def stream_score(spark, folder):
     lines = score_keys(event_stream(spark, folder), rule_model(EVENT_RULE), EVENT_SCHEMA, "event_id")
     out, checkpoint = work_path(spark, "stream"), work_path(spark, "progress")
@@ -1126,7 +1133,7 @@ def stream_score(spark, folder):
     return spark.read.parquet(out)
 
 
-@query("STR3 JOI3 FLT3 SNK4 UDF3", STREAM_SQL)
+@query("STR3 FLT3", STREAM_SQL)
 def stream_batches(spark, folder):
     model = rule_model(EVENT_RULE)
     out, checkpoint = work_path(spark, "batches"), work_path(spark, "progress")
@@ -1135,6 +1142,59 @@ def stream_batches(spark, folder):
     return spark.read.parquet(out).select("value")
 
 
+@query(
+    "SRC8 JOI3 SNK4 UDF3 STR3 STR6",
+    """WITH n AS (SELECT unnest(['click', 'purchase']) AS event_type, unnest(['a click', 'a purchase']) AS kind)
+       SELECT event_id || ',' || CASE WHEN value > 50 AND event_type = 'purchase' THEN '1.0' ELSE '0.0' END
+              || ',' || kind AS value
+       FROM events JOIN n USING (event_type)""",
+)
+def stream_messages(spark, folder):
+    """Messages of bytes, scored and joined with a table in micro-batches at a fixed pace, sent as messages."""
+    events = read_table_stream(spark, folder, "events")
+    line = join_fields("event_id", "event_type", "value", "user_id")
+    messages = text_values(events.select(line.cast("binary").alias("value")))
+    kinds = dim_table(spark, [("click", "a click"), ("purchase", "a purchase")], "name string, kind string")
+    model = rule_model(EVENT_RULE)
+
+    def scorer(batch: DataFrame) -> DataFrame:
+        scored = score(model, parse_csv_line(batch, "value", EVENT_SCHEMA))
+        named = joins.join_dimension(scored, kinds, "event_type", "name")
+        return named.select(join_fields("event_id", "prediction", "kind").alias("value"))
+
+    out, checkpoint = work_path(spark, "messages"), work_path(spark, "progress")
+    running = start_batches(messages, send_batches(scorer, {"path": out}, "text"), checkpoint, every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.text(out)
+
+
+@query(
+    "STR3 SCL6",
+    f"""{JUDGED_SQL}
+    SELECT 'good' AS part, NULL AS problem, event_id || ',' || CASE WHEN value > 50 AND event_type = 'purchase'
+                                                THEN '1.0' ELSE '0.0' END AS value
+    FROM judged WHERE problem IS NULL
+    UNION ALL SELECT 'bad', problem, line FROM judged WHERE problem IS NOT NULL""",
+)
+def stream_broken_lines(spark, folder):
+    """Broken lines go to a place of their own, and the stream goes on."""
+    stream = lines_of(read_table_stream(spark, folder, "events"), True).select(F.col("line").alias("value"))
+    good, bad, checkpoint = (work_path(spark, name) for name in ("good", "bad", "progress"))
+    model = rule_model(EVENT_RULE)
+    handler = set_broken_aside(
+        score_batches(lambda b: score_keys(b, model, EVENT_SCHEMA, "event_id"), good),
+        score_batches(lambda b: b, bad),
+        EVENT_SCHEMA,
+    )
+    wait(start_batches(stream, handler, checkpoint, every=None))
+    scored = spark.read.parquet(good).select(F.lit("good").alias("part"), F.lit(None).cast("string").alias("problem"), "value")
+    broken = spark.read.parquet(bad).select(F.lit("bad").alias("part"), F.col("_problem").alias("problem"), "value")
+    return scored.unionByName(broken)
+
+
 @query(
     "STR2 JOI2 SCL10",
     """SELECT count(*) AS batch_rows, count(*) AS stream_rows, 0::BIGINT AS only_batch,

@@ -26,13 +26,9 @@ IRIS_SCHEMA = T.StructType(IRIS_FEATURES_SCHEMA.fields + [T.StructField("species
 IRIS_CLASSES = [(0, "Iris-setosa"), (1, "Iris-versicolor"), (2, "Iris-virginica")]
 IRIS_CLASSES_SCHEMA = "iris_id int, iris_value string"
 
-_NAIVE_BAYES = (
-    "Naive_Bayes_Classifier_Attrition_Flag_Card_Category_Contacts_Count_12_mon_"
-    "Dependent_count_Education_Level_Months_Inactive_12_mon_"
-)
-
+# Column names, order and types of the churn table, and its labels.
 CHURN_SCHEMA = record(
-    f"""
+    """
     CLIENTNUM int,
     Attrition_Flag string,
     Customer_Age int,
@@ -54,8 +50,8 @@ CHURN_SCHEMA = record(
     Total_Trans_Ct int,
     Total_Ct_Chng_Q4_Q1 double,
     Avg_Utilization_Ratio double,
-    {_NAIVE_BAYES}1 double,
-    {_NAIVE_BAYES}2 double
+    Naive_Bayes_Classifier_Attrition_Flag_Card_Category_Contacts_Count_12_mon_Dependent_count_Education_Level_Months_Inactive_12_mon_1 double,
+    Naive_Bayes_Classifier_Attrition_Flag_Card_Category_Contacts_Count_12_mon_Dependent_count_Education_Level_Months_Inactive_12_mon_2 double
     """
 )
 

@@ -40,8 +40,12 @@ def read_text_stream(
     spark: SparkSession, fmt: str = "kafka", options: dict[str, str] | None = None
 ) -> DataFrame:
     """Stream with one string column ``value``, from any source that has one."""
-    stream = spark.readStream.format(fmt).options(**(options or {})).load()
-    return stream.select(F.col("value").cast("string").alias("value"))
+    return text_values(spark.readStream.format(fmt).options(**(options or {})).load())
+
+
+def text_values(messages: DataFrame) -> DataFrame:
+    """The ``value`` of messages as text; sources of messages give it as bytes."""
+    return messages.select(F.col("value").cast("string").alias("value"))
 
 
 def read_table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:

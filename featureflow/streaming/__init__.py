@@ -1,5 +1,19 @@
 """The same pipelines applied to streams."""
 
-from .scoring import key_prediction_lines, score_batches, score_keys, score_labels, send_batches
+from .scoring import (
+    key_prediction_lines,
+    score_batches,
+    score_keys,
+    score_labels,
+    send_batches,
+    set_broken_aside,
+)
 
-__all__ = ["key_prediction_lines", "score_batches", "score_keys", "score_labels", "send_batches"]
+__all__ = [
+    "key_prediction_lines",
+    "score_batches",
+    "score_keys",
+    "score_labels",
+    "send_batches",
+    "set_broken_aside",
+]

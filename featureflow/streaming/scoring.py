@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parsing import parse_csv_line
+from ..functions.parsing import PROBLEM, parse_csv_line
 from ..functions.text import join_fields
 from ..plans.scoring import assemble_features, label_lines, score
 from ..sinks.kafka import write_messages
@@ -80,3 +80,28 @@ def send_batches(
         write_messages(scorer(batch), F.col("value"), fmt, options)
 
     return handle
+
+
+def set_broken_aside(
+    good: Callable[[DataFrame, int], None],
+    bad: Callable[[DataFrame, int], None],
+    schema: T.StructType,
+    column: str = "value",
+) -> Callable[[DataFrame, int], None]:
+    """Handler that gives lines of the schema to ``good`` and all others, with ``_problem``, to ``bad``.
+
+    So a broken line does not end the stream, nor does it end the one that is
+    restarted on the same offsets. A micro-batch is parsed once for both.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.select(F.col(column).alias("_line"))  # the schema may have a field of the column's name
+        tagged = parse_csv_line(lines, "_line", schema, "tag")
+        tagged = tagged.select(F.col("_line").alias(column), PROBLEM).persist()
+        try:
+            good(tagged.where(F.col(PROBLEM).isNull()).select(column), batch_id)
+            bad(tagged.where(F.col(PROBLEM).isNotNull()), batch_id)
+        finally:
+            tagged.unpersist()
+
+    return handle
