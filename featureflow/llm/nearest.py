@@ -10,12 +10,10 @@ bounds hold always, so the result is exact and recall is 1.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .vectors import search
+from .vectors import Heaps, search
 
 #: Candidates of a tile.
 TILE = 512
@@ -43,8 +41,7 @@ class TileSearch:
         # Products of eight-bit numbers are exact in single precision up to this dimension, else in double.
         self.kind = np.float32 if vectors.shape[1] * 127 * 127 < 1 << 24 else np.float64
         self.tile_side = self.small.astype(self.kind)
-        self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]
-        self.bar = np.full(len(ids), -np.inf)
+        self.heaps = Heaps(ids, top, np.float64)
 
     def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         small, scale = quantise(vectors)
@@ -61,26 +58,11 @@ class TileSearch:
         own = self.ids[:, None] == ids
         low = np.where(own, -np.inf, product - slack)
         if len(ids) > self.top:
-            bar = np.maximum(self.bar, np.partition(low, -self.top, axis=1)[:, -self.top])
+            bar = np.maximum(self.heaps.bar, np.partition(low, -self.top, axis=1)[:, -self.top])
         else:
-            bar = self.bar
+            bar = self.heaps.bar
         query, at = np.nonzero((product + slack >= bar[:, None]) & ~own)
-        score = exact_products(self.vectors[query], vectors[at])
-        for q, value, vec in zip(query.tolist(), score.tolist(), ids[at].tolist(), strict=True):
-            heap = self.heaps[q]
-            entry = (value, -vec)
-            if len(heap) < self.top:
-                heapq.heappush(heap, entry)
-            elif entry > heap[0]:
-                heapq.heapreplace(heap, entry)
-        for q in np.unique(query):
-            if len(self.heaps[q]) == self.top:
-                self.bar[q] = self.heaps[q][0][0]
-
-    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        query = np.repeat(self.ids, [len(h) for h in self.heaps])
-        flat = [entry for heap in self.heaps for entry in heap]
-        return query, np.array([-e[1] for e in flat], np.int64), np.array([e[0] for e in flat], np.float64)
+        self.heaps.merge(query, ids[at], exact_products(self.vectors[query], vectors[at]))
 
 
 def nearest_neighbours(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:

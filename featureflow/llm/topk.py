@@ -13,13 +13,11 @@ on from block to block.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import search
+from .vectors import Heaps, search
 
 #: Shares of the lists that have been read after each band.
 BANDS = (0.05, 0.15, 0.3, 0.5, 0.75, 1.0)
@@ -56,7 +54,7 @@ class ListSearch:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: int):
         self.ids, self.top = ids, top
         self.queries = np.floor(64 * vectors)
-        self.heaps: list[list[tuple[int, int]]] = [[] for _ in ids]
+        self.heaps = Heaps(ids, top, np.int64)
 
     def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         values = np.floor(64 * vectors)
@@ -82,7 +80,7 @@ class ListSearch:
         low_rest = np.repeat(least[:, None], size, axis=1)
         down_seen, up_seen = np.zeros(lists.rank.shape, bool), np.zeros(lists.rank.shape, bool)
         own = self.ids[part][:, None] == ids
-        bar = np.array([self.heaps[k][0][0] if len(self.heaps[k]) == self.top else -np.inf for k in part], q.dtype)
+        bar = self.heaps.bar[part].astype(q.dtype)
         begin = 0
         for share in BANDS:
             end = max(begin + 1, int(np.ceil(share * size)))
@@ -107,24 +105,16 @@ class ListSearch:
 
     def _resolve(self, query: np.ndarray, ids: np.ndarray, values: np.ndarray, exact: bool) -> None:
         if exact:
-            score = (self.queries[query].astype(np.int64) * values.astype(np.int64)).sum(axis=1).tolist()
+            score = (self.queries[query].astype(np.int64) * values.astype(np.int64)).sum(axis=1)
         else:
-            score = [
-                max(-LARGEST, min(LARGEST, sum(int(x) * int(y) for x, y in zip(self.queries[k], v, strict=True))))
-                for k, v in zip(query, values, strict=True)
-            ]
-        for k, value, vec in zip(query.tolist(), score, ids.tolist(), strict=True):
-            heap = self.heaps[k]
-            entry = (value, -vec)
-            if len(heap) < self.top:
-                heapq.heappush(heap, entry)
-            elif entry > heap[0]:
-                heapq.heapreplace(heap, entry)
-
-    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        query = np.repeat(self.ids, [len(h) for h in self.heaps])
-        flat = [entry for heap in self.heaps for entry in heap]
-        return query, np.array([-e[1] for e in flat], np.int64), np.array([e[0] for e in flat], np.int64)
+            score = np.array(
+                [
+                    max(-LARGEST, min(LARGEST, sum(int(x) * int(y) for x, y in zip(self.queries[k], v, strict=True))))
+                    for k, v in zip(query, values, strict=True)
+                ],
+                np.int64,
+            )
+        self.heaps.merge(query, ids, score)
 
 
 def top_scores(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,38 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+class Heaps:
+    """The ``top`` best candidates of each query so far; of equal scores the smaller id is better."""
+
+    def __init__(self, ids: np.ndarray, top: int, kind: type):
+        self.ids, self.top, self.kind = ids, top, kind
+        self.heaps: list[list[tuple]] = [[] for _ in ids]
+        self.bar = np.full(len(ids), -np.inf)
+
+    def merge(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        """Take pairs of query number and candidate. Of a query's pairs at most ``top`` reach its heap, however many tie."""
+        open_to = score >= self.bar[query]
+        query, ids, score = query[open_to], ids[open_to], score[open_to]
+        order = np.lexsort((ids, -score, query))
+        query, ids, score = query[order], ids[order], score[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        best = place < self.top
+        for q, value, vec in zip(query[best].tolist(), score[best].tolist(), ids[best].tolist(), strict=True):
+            heap, entry = self.heaps[q], (value, -vec)
+            if len(heap) < self.top:
+                heapq.heappush(heap, entry)
+            elif entry > heap[0]:
+                heapq.heapreplace(heap, entry)
+        for q in np.unique(query):
+            if len(self.heaps[q]) == self.top:
+                self.bar[q] = self.heaps[q][0][0]
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        query = np.repeat(self.ids, [len(h) for h in self.heaps])
+        flat = [entry for heap in self.heaps for entry in heap]
+        return query, np.array([-e[1] for e in flat], np.int64), np.array([e[0] for e in flat], self.kind)
+
+
 def search(table: DataFrame, zero: bool, every: int, top: int, kind: str, method) -> DataFrame:
     """``top`` nearest rows for each query: ``query_id``, ``rank``, ``vec_id``, ``score`` of type ``kind``.
 
@@ -103,7 +136,7 @@ def _task(method, wave: list[tuple[np.ndarray, np.ndarray]], top: int):
                 if vectors.shape[1] in searches:
                     searches[vectors.shape[1]].read(ids, vectors)
         for one in searches.values():
-            query, vec, score = one.best()
+            query, vec, score = one.heaps.best()
             yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     return run
