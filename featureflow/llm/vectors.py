@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .graph import stored
 
-#: Queries whose vectors are broadcast at once; their number times the dimension bounds the broadcast.
+#: Queries whose vectors are broadcast at once, about, as a hash deals them; their number times the dimension bounds the broadcast.
 WAVE = 4096
 #: Candidates a task holds at once.
 BLOCK = 4096
@@ -107,15 +107,10 @@ def search(table: DataFrame, zero: bool, every: int, top: int, kind: str, method
     rows = stored(usable(table, zero), "vectors")
     queries = rows.where(F.col("vec_id") % every == 0)
     schema = f"query_id long, vec_id long, score {kind}"
-    # Bounds of the waves: every WAVE-th id in order.
-    place = F.row_number().over(Window.partitionBy("part").orderBy("vec_id"))
-    parts = stored(queries.select("vec_id").repartitionByRange("vec_id").select("vec_id", F.spark_partition_id().alias("part")), "queries")
-    cuts = parts.withColumn("place", place).where((F.col("place") - 1) % WAVE == 0).orderBy("vec_id")
-    bounds = [r.vec_id for r in cuts.select("vec_id").collect()]
+    waves = -(-queries.count() // WAVE)
     found = []
-    for low, high in zip(bounds, [*bounds[1:], None], strict=False):  # none without queries
-        wave = queries.where(F.col("vec_id") >= low)
-        wave = (wave.where(F.col("vec_id") < high) if high is not None else wave).orderBy("vec_id").toArrow()
+    for k in range(waves):
+        wave = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == k).orderBy("vec_id").toArrow()
         found.append(rows.mapInArrow(_task(method, list(by_length(wave)), top), schema))
     if not found:
         return table.sparkSession.createDataFrame([], f"query_id long, rank int, vec_id long, score {kind}")
