@@ -238,3 +238,40 @@ def test_exchange_finds_alternating_classes():
     bigrams[20, 0] = bigrams[0, 20] = 1
     of = brown.exchange(bigrams, classes=3)
     assert of[20] == 0 and len(set(of[:10])) == 1 and len(set(of[10:20])) == 1 and of[0] != of[10]
+
+
+@pytest.mark.parametrize("head", [1100, 1 << 18])
+def test_infrequent_words_of_one_ending_get_classes_of_their_own(spark, monkeypatch, head):
+    """Words of two kinds take turns; all end alike, and those asked for are beyond the first units."""
+    monkeypatch.setattr(brown, "HEAD", head)
+    draw = random.Random(5)
+    kinds = [[f"{kind}{k}xyz" for k in range(800)] for kind in "ab"]
+    often = [4 if k < 600 else 1 for k in range(800)]
+    texts = [" ".join(w for pair in zip(*(draw.choices(k, often, k=60) for k in kinds), strict=True) for w in pair) for _ in range(400)]
+    rare = [draw.sample(k[600:], 50) for k in kinds]
+    turns = " ".join(w for pair in zip(*rare, strict=True) for w in pair)
+    rows = [*enumerate(texts), (1000, turns), (1001, " ".join(rare[0] + rare[1]))]
+    got = {r.doc_id: r.score for r in brown.score_texts(frame(spark, rows), F.col("doc_id") >= 1000).collect()}
+    assert got[1000] > got[1001] + 10
+
+
+def test_words_move_to_the_class_that_explains_most():
+    draw = np.random.default_rng(4)
+    words = draw.integers(1, 30, 600)
+    words[::20] = 0
+    bigrams = np.zeros((30, 30))
+    np.add.at(bigrams, (words[:-1], words[1:]), 1)
+    old = np.append(0, draw.integers(1, 5, 29))
+
+    def table(of):
+        member = np.eye(5)[of]
+        return member.T @ bigrams @ member
+
+    follow, lead = bigrams @ np.eye(5)[old], bigrams.T @ np.eye(5)[old]
+    twice = bigrams.diagonal()
+    for counts in (follow, lead):
+        counts[np.arange(30), old] -= twice
+    seen = np.concatenate([follow, twice[:, None], lead], axis=1)[1:]
+    for w, new in enumerate(brown.best_classes(seen, old[1:], table(old)), 1):
+        values = [brown.likelihood(table(np.where(np.arange(30) == w, c, old))) for c in range(1, 5)]
+        assert values[new - 1] == pytest.approx(max(values))
