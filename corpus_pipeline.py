@@ -2,9 +2,10 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` with what the stage before it kept and
 returns a DataFrame. All but the last return the columns of the documents table,
-further columns of the input are left out. A stage's decisions are by row
-number of the rows at hand, so repeated ids and rows without an id keep their
-own decisions.
+further columns of the input are left out. A stage decides for each row by itself:
+rows go through the toxicity and language operators, and have stored numbers in
+deduplication and mixing, so repeated ids and rows without an id keep their own
+decisions.
 """
 
 from __future__ import annotations
@@ -24,45 +25,47 @@ from featureflow.llm.toxicity import score_toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, decided: DataFrame, kept: F.Column) -> DataFrame:
-    """Rows of the documents whose id was kept. Rows of one id share a decision: all or none; null is an id here."""
-    ids = decided.groupBy("doc_id").agg(F.min(kept.cast("int")).alias("_kept")).where("_kept = 1").select(F.col("doc_id").alias("_id"))
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(COLUMNS)
+def _numbered(docs: DataFrame, purpose: str) -> DataFrame:
+    """The documents with a number for each row, fixed as the rows are written."""
+    return stored(docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id()), purpose)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from all labels, does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score_toxicity(docs, labels, held_out=F.lit(False))
-    return _keep(docs, scored, F.col("predicted") == 0)
+    scored = score_toxicity(docs, labels, held_out=F.lit(False), carried=COLUMNS)
+    return scored.where("predicted = 0").select("row.*")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents close enough to a language of the corpus; texts without a letter go."""
-    found = identify_languages(docs, held_out=F.lit(False))
-    return _keep(docs, found, ~F.col("rejected"))
+    found = identify_languages(docs, held_out=F.lit(False), carried=COLUMNS)
+    return found.where("not rejected").select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: that with the smallest id, once. Of rows without an id, equal ones go."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(COLUMNS)
-    once = named.groupBy("doc_id").agg(F.min(F.struct(COLUMNS)).alias("row")).select("row.*")
-    return once.unionByName(docs.where("doc_id is null").select(COLUMNS).distinct())
+    """One row of each class of near duplicates: that with the smallest id; without any id, one of them.
 
+    Classes are of rows, by text alone: rows without an id take part, and different
+    texts under one id are different documents. Of equal rows without words one stays.
+    """
+    rows = _numbered(docs, "numbered")
+    classes = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    classes = stored(classes.select(F.col("doc_id").alias("row"), "component_id", (F.col("n_shingles") > 0).alias("worded")), "classes")
+    least = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    worded = rows.select("row", "doc_id").join(classes.where("worded"), "row")
+    kept = worded.groupBy("component_id").agg(F.min(least)["row"].alias("row")).select("row")
+    once = rows.join(kept, "row", "left_semi").select(COLUMNS)
+    wordless = rows.join(classes.where("worded"), "row", "left_anti").select(COLUMNS)
+    return once.unionByName(wordless.distinct())
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix by source takes it; those it does not take go.
 
-    Rows of one id in one source are taken equally often.
-    """
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as the mix by source takes it; those it does not take go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    taken = mix(docs, quality_weights(labels)).where("taken > 0")
-    times = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
-        F.min(F.expr("cast(taken div size as int)")).alias("_times")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    copies = docs.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    rows = _numbered(docs, "numbered")
+    times = mix(rows, quality_weights(labels), number="row").where("taken > 0").select("row", F.expr("cast(taken div size as int)").alias("_times"))
+    copies = rows.join(times, "row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return copies.select(COLUMNS)
 
 

@@ -13,7 +13,7 @@ language); prediction covers all rows, in tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -151,7 +151,7 @@ def training_sample(rows: DataFrame) -> pa.Table:
     return chosen.select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("text", "ascending")])
 
 
-def identify_languages(docs: DataFrame, held_out: F.Column) -> DataFrame:
+def identify_languages(docs: DataFrame, held_out: F.Column, carried: Sequence[str] = ()) -> DataFrame:
     """Language of every whole text, learned from the rows where ``held_out`` is false and ``lang`` is not null.
 
     ``docs`` needs ``doc_id``, ``text`` and ``lang``; further columns are only used
@@ -160,11 +160,14 @@ def identify_languages(docs: DataFrame, held_out: F.Column) -> DataFrame:
     letter, and for all if nothing could be learned), ``score`` (cosine, 0 for
     ``und``), ``rejected`` (too far from every centroid, or ``und``). Null in
     ``held_out`` counts as held out. Repeated rows get equal predictions; ties go to
-    the first language in order of name. An empty table gives an empty table.
+    the first language in order of name. An empty table gives an empty table. With
+    ``carried``, each row also has these columns of its own input row, as ``row``.
     """
+    row = [F.struct(*carried).alias("row")] if carried else []
     rows = docs.select(
-        F.col("doc_id").cast("long"), "lang", F.lower("text").alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out")
+        F.col("doc_id").cast("long"), "lang", F.lower("text").alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"), *row
     )
+    extra = ["row"] if carried else []
     sample = training_sample(rows)
     model = Languages(sample["text"].combine_chunks(), sample["lang"].to_pylist()) if len(sample) else None
     if model is not None and not len(model.of):
@@ -179,11 +182,15 @@ def identify_languages(docs: DataFrame, held_out: F.Column) -> DataFrame:
                 names = [n if ok else "und" for n, ok in zip(names, lettered, strict=True)]
                 score, far = np.where(lettered, np.clip(score, 0, 1), 0), far | ~lettered
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names), pa.array(score.astype(np.float64)), pa.array(far)],
-                names=["doc_id", "held_out", "lang_pred", "score", "rejected"],
+                [
+                    *(batch.column(c) for c in ("doc_id", "held_out")),
+                    *map(pa.array, (names, score.astype(np.float64), far)),
+                    *(batch.column(c) for c in extra),
+                ],
+                names=["doc_id", "held_out", "lang_pred", "score", "rejected", *extra],
             )
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return rows.select("doc_id", "held_out", "text", lettered).mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
-    )
+    form = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
+    form += "".join(f", row {rows.schema['row'].dataType.simpleString()}" for _ in extra)
+    return rows.select("doc_id", "held_out", "text", lettered, *extra).mapInArrow(run, form)

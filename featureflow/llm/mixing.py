@@ -62,7 +62,7 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
+def mix(docs: DataFrame, quality: DataFrame | None = None, number: str | None = None) -> DataFrame:
     """How much of each document a mix by source takes.
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``; ``quality`` may give a weight above
@@ -74,9 +74,11 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     Sources in order of code points weigh ``WEIGHTS``, repeating; null is a source
     of its own and the last. Null and empty texts have size 0 and take nothing.
     Draws depend on ids only, so runs agree; rows of one id draw alike, and ties
-    are ordered by id, then size. An empty table gives an empty table.
+    are ordered by id, then size. An empty table gives an empty table. ``number`` may
+    name a column of numbers of the rows: the last of the order, and of the result.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count("text").alias("size"))
+    own = [number] if number else []
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count("text").alias("size"), *own)
     if quality is not None:
         best = quality.where("weight > 0").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("weight").alias("weight"))
         rows = rows.join(best, "doc_id", "left")
@@ -84,7 +86,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     draw = uniform(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     key = -F.log(draw) / weight
     bucket = F.least(F.floor(BUCKETS * (1 - F.exp(-key))), F.lit(BUCKETS - 1)).cast("int")
-    rows = rows.withColumn("key", key).withColumn("bucket", bucket).select("doc_id", "source", "size", "key", "bucket")
+    rows = rows.withColumn("key", key).withColumn("bucket", bucket).select("doc_id", "source", "size", "key", "bucket", *own)
     rows = stored(rows, "sizes")
 
     ranges = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("range_size")), "ranges")
@@ -100,13 +102,13 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
 
     known = _by_source(rows, F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan, "left", renamed="end")
     inside = known.where(F.col("bucket") == F.col("end_bucket"))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("source").orderBy("key", "doc_id", "size", *own).rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     cut = inside.withColumn("chosen", start + F.col("size") / 2 <= F.col("budget"))
     rest = known.where(~F.coalesce(F.col("bucket") == F.col("end_bucket"), F.lit(False)))
     rest = rest.withColumn("chosen", F.coalesce(F.col("bucket") < F.col("end_bucket"), F.lit(False)))
     taken = F.col("size") * (F.col("epochs") + F.col("chosen").cast("long"))
-    return cut.unionByName(rest).select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return cut.unionByName(rest).select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *own)
 
 
 def _by_source(left: DataFrame, right: DataFrame, how: str = "inner", renamed: str = "") -> DataFrame:

@@ -13,7 +13,7 @@ Training runs on a bounded sample of the labelled rows (``TRAIN_TOXIC`` and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -258,7 +258,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> p
     return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: F.Column, carried: Sequence[str] = ()) -> DataFrame:
     """Toxicity of every whole text, learned from the labelled rows where ``held_out`` is false.
 
     ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic`` (0 or
@@ -268,10 +268,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> Da
     from 0.5 on). Null texts and texts without words get the share of toxic rows
     in the sample. Without both kinds of labels every row gets that share (0
     without labels). Null in ``held_out`` counts as held out. Repeated rows get
-    equal scores; an empty table gives an empty table.
+    equal scores; an empty table gives an empty table. With ``carried``, each row also has
+    these columns of its own input row, as ``row``.
     """
     held_out = F.coalesce(held_out, F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long"), F.lower("text").alias("text"), held_out.alias("held_out"))
+    row = [F.struct(*carried).alias("row")] if carried else []
+    rows = docs.select(F.col("doc_id").cast("long"), F.lower("text").alias("text"), held_out.alias("held_out"), *row)
+    extra = ["row"] if carried else []
     sample = training_sample(rows, labels.select(F.col("doc_id").cast("long"), "toxic"), F.col("held_out"))
     toxic = sample["toxic"].to_numpy().astype(np.float64)
     share = float(toxic.mean()) if len(toxic) else 0.0
@@ -288,10 +291,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> Da
                 score = np.where(words.counts > 0, 1 / (1 + np.exp(-worst)), share)
             predicted = pa.array((score >= 0.5).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(score), predicted],
-                names=["doc_id", "held_out", "score", "predicted"],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(score), predicted, *(batch.column(c) for c in extra)],
+                names=["doc_id", "held_out", "score", "predicted", *extra],
             )
 
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        run, "doc_id long, held_out boolean, score double, predicted int"
-    )
+    form = "doc_id long, held_out boolean, score double, predicted int"
+    form += "".join(f", row {rows.schema['row'].dataType.simpleString()}" for _ in extra)
+    return rows.select("doc_id", "held_out", "text", *extra).mapInArrow(run, form)

@@ -179,3 +179,56 @@ def test_pipeline_stages(spark, monkeypatch):
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11))
+
+
+def test_pipeline_decides_row_by_row(spark, monkeypatch, tmp_path):
+    """Rows without an id and of one id, under operators that decide by the text alone."""
+    good = ["a b c d e f g h i j k l m n", "one two three four five six seven eight nine", "o p q r s t u v w x y z"]
+    rows = [(None, good[0]), (None, "bad"), (7, good[1]), (7, "bad"), (7, good[2]), (None, good[0]), (9, good[2]), (None, good[1])]
+    rows += [(None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def decided(name, value):
+        return lambda docs, *_, held_out, carried: docs.select(value.alias(name), F.struct(*carried).alias("row"))
+
+    bad = F.col("text") == "bad"
+    monkeypatch.setattr(corpus_pipeline, "score_toxicity", decided("predicted", bad.cast("int")))
+    monkeypatch.setattr(corpus_pipeline, "identify_languages", decided("rejected", bad))
+
+    def after(stage, docs):
+        return Counter((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path)).collect())
+
+    clean = Counter(r for r in rows if r[1] != "bad")
+    assert after("toxicity", docs) == after("language", docs) == clean
+    once = Counter([(None, good[0]), (7, good[1]), (7, good[2]), (None, ""), (None, "bad")])
+    near = after("near_duplicates", docs.where(~bad | F.col("doc_id").isNull()))
+    assert near == once
+    # The source's words are taken at a weight of one: 1.5 times its size, so each row once, and some twice.
+    taken = after("mixing", docs.where(~bad))
+    want = Counter()
+    for r in mix(docs.where(~bad)).collect():
+        want[r.doc_id, r.size] += r.taken // max(r.size, 1)
+    got = Counter()
+    for (i, t), n in taken.items():
+        got[i, len(t.split())] += n
+    assert got == +want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[:3])
+    assert Counter((r.doc_id, r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == Counter(
+        [(None, good[0]), (7, good[1]), (7, good[2]), (None, "")]
+    )
+
+
+def test_operators_carry_their_rows(spark, monkeypatch):
+    from featureflow.llm import langid, toxicity
+
+    monkeypatch.setattr(toxicity, "STEPS", 5)
+    rows = [(None, "You ARE a fool", 1), (4, "The tree is green", 2), (4, "what a fool", 3), (None, None, 4), (5, "123", 5)]
+    docs = spark.createDataFrame([(i, t, "en", n) for i, t, n in rows], "doc_id long, text string, lang string, n int")
+    labels = spark.createDataFrame([(4, 0), (5, 1)], "doc_id long, toxic int")
+    found = langid.identify_languages(docs, F.lit(False), carried=["n", "text"]).collect()
+    assert {(r.doc_id, r.row.text, r.row.n) for r in found} == set(rows)
+    assert {r.row.n for r in found if r.lang_pred == "und"} == {4, 5}
+    scored = toxicity.score_toxicity(docs, labels, F.lit(False), carried=["n", "text"]).collect()
+    assert {(r.doc_id, r.row.text, r.row.n) for r in scored} == set(rows)
