@@ -4,8 +4,8 @@ A text is a vector of its byte sequences of one to four letters within words
 (hashed), each entry the logarithm of its count times the sequence's inverse
 document frequency, at length one. Each language has several centroids, found by
 spherical k-means over its training texts. A text gets the language of the
-centroid with the highest cosine; if it lies further from that centroid than
-training texts of its length ever did, with a margin, it is rejected.
+centroid with the highest cosine; if that is below a low quantile of the cosines
+of held-back training texts of its length, with a margin, it is rejected.
 
 Fitting uses a bounded sample of the labelled rows (``TRAIN_TEXTS`` of each
 language); prediction covers all rows, in tasks.
@@ -30,8 +30,10 @@ LANGUAGES = 256
 SIZE, GRAMS = 4096, (1, 2, 3, 4)
 #: Centroids of a language, and rounds of k-means.
 CENTROIDS, ROUNDS = 4, 10
-#: A text is rejected below this share of the least cosine of training texts of its length class.
-MARGIN = 0.3
+#: A text is rejected below this share of this quantile of the cosines in its length class.
+MARGIN, QUANTILE = 0.7, 0.01
+#: Parts of the training texts, each held back once; cosines that a quantile is taken of at least.
+FOLDS, COSINES = 4, 50
 #: Texts turned into vectors at once.
 CHUNK = 512
 
@@ -97,6 +99,16 @@ def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarr
     return centres
 
 
+def low_cosines(cosines: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Low quantile of the cosines by length class; classes of few texts are taken with the next ones, shorter texts never have the higher bound."""
+    out = np.zeros(_GROUPS)
+    for c in range(_GROUPS if len(cosines) else 0):
+        away = np.abs(classes - c)
+        reach = np.sort(away)[min(COSINES, len(away)) - 1]
+        out[c] = np.quantile(cosines[away <= reach], QUANTILE)
+    return np.minimum.accumulate(out[::-1])[::-1]
+
+
 class Languages:
     """Fitted centroids with their languages, inverse document frequencies and least cosines."""
 
@@ -111,20 +123,23 @@ class Languages:
         self.idf = np.log((1 + len(plain)) / (1 + (plain > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
         rows = np.concatenate([vectors_of(words, self.idf) for words in in_chunks(texts)])
         real = rows.any(axis=1)
-        self.centres, self.of = np.zeros((0, SIZE), np.float32), []
+        self.centres, self.of = self._centroids(rows, number, real)
+        fold, best = np.arange(len(rows)) % FOLDS, np.zeros(len(rows))
+        for k in range(FOLDS):
+            centres, _ = self._centroids(rows, number, real & (fold != k))
+            if len(centres):
+                best[fold == k] = (rows[fold == k] @ centres.T).max(axis=1)
+        self.least = MARGIN * low_cosines(best[real], classes[real])
+
+    def _centroids(self, rows: np.ndarray, number: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Centroids of the chosen rows, and the language of each."""
+        centres, of = [np.zeros((0, SIZE), np.float32)], []
         for k in range(len(self.names)):
-            own = rows[(number == k) & real]
+            own = rows[(number == k) & chosen]
             if len(own):
-                found = spherical_kmeans(own, CENTROIDS)
-                self.centres = np.concatenate([self.centres, found])
-                self.of += [k] * len(found)
-        self.of = np.array(self.of, np.int64)
-        self.least = np.zeros(_GROUPS)
-        if len(self.of):
-            best = (rows @ self.centres.T).max(axis=1)
-            for c in range(_GROUPS):
-                own = best[real & (classes <= c)]
-                self.least[c] = MARGIN * own.min() if len(own) else 0.0
+                centres.append(spherical_kmeans(own, CENTROIDS))
+                of += [k] * len(centres[-1])
+        return np.concatenate(centres), np.array(of, np.int64)
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine and whether the text is too far from every centroid, for each text."""

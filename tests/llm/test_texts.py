@@ -275,3 +275,21 @@ def test_words_move_to_the_class_that_explains_most():
     for w, new in enumerate(brown.best_classes(seen, old[1:], table(old)), 1):
         values = [brown.likelihood(table(np.where(np.arange(30) == w, c, old))) for c in range(1, 5)]
         assert values[new - 1] == pytest.approx(max(values))
+
+
+def test_languages_that_were_not_learned_are_rejected(spark, languages):
+    rows, langs = languages
+    draw = random.Random(11)
+    kinds = (["aki", "suo", "mäl", "vyk"], ["ży", "przec", "wł", "ów"], ["0a9f", "7be1", "c4d2", "38"], ["при", "вет", "ска", "мо"])
+    others = [(1000 + k, invented(draw, kind, 200)) for k, kind in enumerate(kinds)]
+    docs = frame(spark, rows + others, langs + [None] * len(others))
+    got = {r.doc_id: r.rejected for r in langid.identify_languages(docs, F.col("doc_id") % 3 == 1).collect()}
+    assert all(got[i] for i, _ in others)
+    assert not any(got[i] for i, _ in rows)
+
+
+def test_bounds_follow_the_length_class():
+    classes = np.repeat([3, 7], [60, 200])
+    cosines = np.append(np.full(60, 0.2), np.append([0.01], np.full(199, 0.6)))
+    least = langid.low_cosines(cosines, classes)
+    assert least[3] == pytest.approx(0.2) and least[7] == pytest.approx(0.6) and (np.diff(least) >= 0).all()
