@@ -17,6 +17,7 @@ from .rollup import commit, token_count, totals
 from .topk import top_scores
 from .toxicity import score_toxicity
 from .warc import archived_pages
+from .whitening import whiten
 
 #: Tokenizer file of the encoding query.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -99,6 +100,10 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_read(spark, sf_dir, "documents"), held_out=_remainder(3) == 1)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_archives": op1_archives,
     "op2_near_duplicates": op2_near_duplicates,
@@ -110,6 +115,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_languages": op10_languages,
+    "op11_whitening": op11_whitening,
 }
 
 SQL: dict[str, str] = {
