@@ -16,6 +16,7 @@ from .neardup import near_duplicates
 from .rollup import commit, token_count, totals
 from .topk import top_scores
 from .toxicity import score_toxicity
+from .variants import spelling_variants
 from .warc import archived_pages
 from .whitening import whiten
 
@@ -104,6 +105,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_read(spark, sf_dir, "embeddings"))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_archives": op1_archives,
     "op2_near_duplicates": op2_near_duplicates,
@@ -116,6 +121,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_languages": op10_languages,
     "op11_whitening": op11_whitening,
+    "op12_variants": op12_variants,
 }
 
 SQL: dict[str, str] = {
@@ -209,4 +215,49 @@ SQL: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
         WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
     """,
+    "op12_variants": r"""
+        WITH RECURSIVE r AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM documents
+        ),
+        c AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+        x AS (SELECT *, hex(encode(concat(doc_id, ':', run))) AS bytes FROM c),
+        h AS (
+            SELECT run, n, xor(4294967295::BIGINT, list_reduce(
+                [4294967295::BIGINT] || flatten(list_transform(range(len(bytes) // 2),
+                    lambda k: [('0x' || substr(bytes, 2 * k + 1, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END)) AS h
+            FROM x
+        ),
+        w AS (
+            SELECT CASE WHEN h % 31 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word, n
+            FROM h
+        ),
+        v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        k AS MATERIALIZED (
+            SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest
+            FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)
+        ),
+        d AS (SELECT DISTINCT k.word, k.n, v.word AS near, v.n AS near_n FROM k JOIN v ON k.rest = v.word),
+        p AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM k AS a JOIN k AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION ALL SELECT word, near, near_n FROM d
+            UNION ALL SELECT near, word, n FROM d
+        ),
+        m AS (
+            SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS best, max(near_n) AS best_n FROM p GROUP BY word
+        ),
+        f AS MATERIALIZED (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+                   CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+            FROM v LEFT JOIN m USING (word)
+        ),
+        e AS (
+            SELECT word, form AS root FROM f WHERE form IS NOT NULL
+            UNION ALL SELECT e.word, f.form FROM e JOIN f ON e.root = f.word WHERE f.form IS NOT NULL
+        ),
+        z AS (SELECT e.word, e.root FROM e JOIN f ON e.root = f.word WHERE f.form IS NULL)
+        SELECT f.word, f.form, coalesce(z.root, f.word) AS root, f.n, f.n_near, f.form_n FROM f LEFT JOIN z ON f.word = z.word
+    """,
 }
