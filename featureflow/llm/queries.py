@@ -13,6 +13,7 @@ from .langid import identify_languages
 from .mixing import mix
 from .nearest import nearest_neighbours
 from .neardup import near_duplicates
+from .quality import score_quality
 from .rollup import commit, token_count, totals
 from .topk import top_scores
 from .toxicity import score_toxicity
@@ -109,6 +110,11 @@ def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_read(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return score_quality(docs, labels, held_out=_remainder(3) == 1)
+
+
 QUERIES = {
     "op1_archives": op1_archives,
     "op2_near_duplicates": op2_near_duplicates,
@@ -122,6 +128,7 @@ QUERIES = {
     "op10_languages": op10_languages,
     "op11_whitening": op11_whitening,
     "op12_variants": op12_variants,
+    "op13_quality": op13_quality,
 }
 
 SQL: dict[str, str] = {
