@@ -5,27 +5,31 @@ A text is a vector of its byte sequences of one to four letters within words
 document frequency, at length one. Each language has several centroids, found by
 spherical k-means over its training texts. A text gets the language of the
 centroid with the highest cosine; if that is below a low quantile of the cosines
-of held-back training texts of its length, with a margin, it is rejected.
+of held-back training texts of its length, with a margin, it is rejected. A
+held-back text's cosine is that with the centroids of its own language, found
+without it.
 
 Fitting uses a bounded sample of the labelled rows (``TRAIN_TEXTS`` of each
-language); prediction covers all rows, in tasks.
+language, all languages); both it and prediction, which covers all rows, run in
+tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import stored
 from .words import LETTER_WORDS, Words, mix64, pieces, words_of
 
 #: Labelled texts of each language that the model is fitted on, about.
 TRAIN_TEXTS = 1500
-#: Languages that are learned at most; the most frequent ones, ties by name.
-LANGUAGES = 256
 #: Entries of a vector, and bytes of the sequences.
 SIZE, GRAMS = 4096, (1, 2, 3, 4)
 #: Centroids of a language, and rounds of k-means.
@@ -40,8 +44,8 @@ CHUNK = 512
 _GROUPS = 24
 
 
-def vectors_of(words: Words, idf: np.ndarray | None = None) -> np.ndarray:
-    """One row per text, of length one (zero without letters); plain counts weigh if there is no ``idf``."""
+def counts_of(words: Words) -> np.ndarray:
+    """One row per text: logarithms of the counts of its sequences, by cell."""
     texts = len(words.first) - 1
     inside = np.zeros(len(words.data) + 1, np.int32)  # words are separate runs of letters
     inside[words.start] += 1
@@ -64,11 +68,18 @@ def vectors_of(words: Words, idf: np.ndarray | None = None) -> np.ndarray:
             at = np.flatnonzero(inside[:last] & inside[n - 1 :] & (run[:last] == run[n - 1 :]))
             cell = owner[run[at]] * SIZE + (mix64(code[at] + np.uint64(n)) % np.uint64(SIZE)).astype(np.int64)
             total += np.bincount(cell, minlength=texts * SIZE).astype(np.float32)
-    out = np.log1p(total.reshape(texts, SIZE))
-    if idf is not None:
-        out *= idf
-    length = np.sqrt((out * out).sum(axis=1, keepdims=True))
-    return out / np.maximum(length, np.float32(1e-12))
+    return np.log1p(total.reshape(texts, SIZE))
+
+
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """The rows at length one; zeros stay."""
+    length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return rows / np.maximum(length, np.float32(1e-12))
+
+
+def vectors_of(words: Words, idf: np.ndarray) -> np.ndarray:
+    """One row per text, of length one (zero without letters)."""
+    return unit_rows(counts_of(words) * idf)
 
 
 def in_chunks(column: pa.Array) -> Iterator[Words]:
@@ -109,37 +120,15 @@ def low_cosines(cosines: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.minimum.accumulate(out[::-1])[::-1]
 
 
+@dataclass
 class Languages:
-    """Fitted centroids with their languages, inverse document frequencies and least cosines."""
-
-    def __init__(self, texts: pa.Array, langs: list[str]):
-        self.names = sorted(set(langs))
-        number = np.array([self.names.index(x) for x in langs])
-        plain, classes = [], []
-        for words in in_chunks(texts):
-            plain.append(vectors_of(words))
-            classes.append(length_class(words))
-        plain, classes = np.concatenate(plain), np.concatenate(classes)
-        self.idf = np.log((1 + len(plain)) / (1 + (plain > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
-        rows = np.concatenate([vectors_of(words, self.idf) for words in in_chunks(texts)])
-        real = rows.any(axis=1)
-        self.centres, self.of = self._centroids(rows, number, real)
-        fold, best = np.arange(len(rows)) % FOLDS, np.zeros(len(rows))
-        for k in range(FOLDS):
-            centres, _ = self._centroids(rows, number, real & (fold != k))
-            if len(centres):
-                best[fold == k] = (rows[fold == k] @ centres.T).max(axis=1)
-        self.least = MARGIN * low_cosines(best[real], classes[real])
-
-    def _centroids(self, rows: np.ndarray, number: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Centroids of the chosen rows, and the language of each."""
-        centres, of = [np.zeros((0, SIZE), np.float32)], []
-        for k in range(len(self.names)):
-            own = rows[(number == k) & chosen]
-            if len(own):
-                centres.append(spherical_kmeans(own, CENTROIDS))
-                of += [k] * len(centres[-1])
-        return np.concatenate(centres), np.array(of, np.int64)
+    """Languages in order of name, centroids with the language of each, inverse document frequencies and least cosines."""
+
+    names: list[str]
+    centres: np.ndarray
+    of: np.ndarray
+    idf: np.ndarray
+    least: np.ndarray
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine and whether the text is too far from every centroid, for each text."""
@@ -156,14 +145,84 @@ class Languages:
         return names, np.concatenate(scores), np.concatenate(far)
 
 
-def training_sample(rows: DataFrame) -> pa.Table:
-    """Bounded sample of the training rows, by hash of the row: about ``TRAIN_TEXTS`` of each language."""
-    known = rows.where("not held_out and lang is not null and text is not null")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    share = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(TRAIN_TEXTS)) / F.col("count")).alias("share"))
-    place = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.join(F.broadcast(share), "lang").where(place < F.col("share"))
-    return chosen.select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("text", "ascending")])
+def training_texts(rows: DataFrame) -> DataFrame:
+    """Bounded sample of the training rows: ``lang``, ``h`` and ``text`` of about ``TRAIN_TEXTS`` distinct texts of each language.
+
+    The texts of least hash; rows without an id, of one id, or of one text change nothing.
+    """
+    known = rows.where("not held_out and lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    texts = known.select("lang", "h").distinct()
+    place = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Somewhat more by a bound on the hash, so that no language is sorted whole.
+    share = texts.groupBy("lang").agg((F.lit(1.2 * TRAIN_TEXTS + 200) / F.count("*")).alias("share"))
+    low = texts.join(share, "lang").where(place < F.col("share"))
+    order = Window.partitionBy("lang").orderBy(place, "h")
+    chosen = low.select("lang", "h", F.row_number().over(order).alias("place")).where(F.col("place") <= TRAIN_TEXTS)
+    own = known.join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"], "left_semi")
+    return own.groupBy("lang", "h").agg(F.min("text").alias("text"))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as the cells of their sequences with the logarithms of their counts, and their length class."""
+    for batch in pieces(batches, "text"):
+        k = 0
+        for words in in_chunks(batch.column("text")):
+            counts = counts_of(words)
+            row, cell = np.nonzero(counts)
+            begin = np.searchsorted(row, np.arange(len(counts) + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(begin), pa.array(v)) for v in (cell.astype(np.int32), counts[row, cell])]
+            own = [batch.column(c).slice(k, len(counts)) for c in ("lang", "h")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(length_class(words)), *lists], names=["lang", "h", "size", "cells", "counts"])
+            k += len(counts)
+
+
+def _centroids_of_a_language(idf: np.ndarray):
+    """Centroids from all texts of a language, and the nearest cosine of each text to those from the other folds."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("h")
+        rows = np.zeros((len(table), SIZE), np.float32)
+        begin = np.append(0, np.cumsum(pc.list_value_length(table["cells"]).to_numpy()))
+        owner = np.repeat(np.arange(len(table)), np.diff(begin))
+        cells = pc.list_flatten(table["cells"]).to_numpy()
+        rows[owner, cells] = pc.list_flatten(table["counts"]).to_numpy() * idf[cells]
+        real = rows.any(axis=1)
+        rows, size = unit_rows(rows[real]), table["size"].to_numpy()[real]
+        fold, best = np.arange(len(rows)) % FOLDS, np.zeros(len(rows))
+        for k in range(FOLDS):
+            others = rows[fold != k]
+            if len(others):
+                best[fold == k] = (rows[fold == k] @ spherical_kmeans(others, CENTROIDS).T).max(axis=1)
+        centres = spherical_kmeans(rows, CENTROIDS) if len(rows) else rows
+        whole = [pa.array([v.tobytes()], pa.binary()) for v in (centres.astype("<f4"), best.astype("<f8"), size.astype("<i8"))]
+        return pa.Table.from_arrays([table["lang"].slice(0, 1).combine_chunks(), *whole], names=["lang", "centres", "cosines", "sizes"])
+
+    return run
+
+
+def fit_languages(rows: DataFrame) -> Languages | None:
+    """The model of the training rows; None without any.
+
+    Texts become cells in tasks, and each language's centroids come from one task,
+    which holds its bounded sample. The driver gets ``CENTROIDS`` vectors and
+    ``TRAIN_TEXTS`` cosines of each language, however many there are.
+    """
+    form = "lang string, h long, size long, cells array<int>, counts array<float>"
+    sample = stored(training_texts(rows).mapInArrow(_counted, form), "language-sample")
+    texts = sample.count()
+    seen = np.zeros(SIZE)
+    for r in sample.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():
+        seen[r["cell"]] = r["count"]
+    idf = np.log((1 + texts) / (1 + seen)).astype(np.float32) + np.float32(1)
+    found = sample.groupBy("lang").applyInArrow(_centroids_of_a_language(idf), "lang string, centres binary, cosines binary, sizes binary")
+    found = sorted(found.collect(), key=lambda r: r["lang"])
+    centres = [np.frombuffer(r["centres"], "<f4").reshape(-1, SIZE) for r in found]
+    of = np.repeat(np.arange(len(found)), [len(c) for c in centres])
+    if not len(of):
+        return None
+    cosines, sizes = (np.concatenate([np.frombuffer(r[c], t) for r in found]) for c, t in (("cosines", "<f8"), ("sizes", "<i8")))
+    least = MARGIN * low_cosines(cosines, sizes)
+    return Languages([r["lang"] for r in found], np.concatenate(centres), of, idf, least)
 
 
 def identify_languages(docs: DataFrame, held_out: F.Column, carried: Sequence[str] = ()) -> DataFrame:
@@ -183,10 +242,7 @@ def identify_languages(docs: DataFrame, held_out: F.Column, carried: Sequence[st
         F.col("doc_id").cast("long"), "lang", F.lower("text").alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"), *row
     )
     extra = ["row"] if carried else []
-    sample = training_sample(rows)
-    model = Languages(sample["text"].combine_chunks(), sample["lang"].to_pylist()) if len(sample) else None
-    if model is not None and not len(model.of):
-        model = None
+    model = fit_languages(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):

@@ -8,7 +8,7 @@ its most toxic window; windows overlap by eight words and cover the whole text.
 training a text's loss goes to its most toxic window in the same way.
 
 Training runs on a bounded sample of the labelled rows (``TRAIN_TOXIC`` and
-``TRAIN_CLEAN`` whole texts); scoring covers all rows, in tasks.
+``TRAIN_CLEAN`` whole texts, ``TRAIN_BYTES`` of them); scoring covers all rows, in tasks.
 """
 
 from __future__ import annotations
@@ -18,13 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import stored
 from .words import LETTER_WORDS, Words, mix64, pieces, words_of
 
 #: Labelled texts that the model is fitted on at most, by label.
 TRAIN_TOXIC, TRAIN_CLEAN = 2000, 6000
+#: Bytes of them all together at most.
+TRAIN_BYTES = 64 << 20
 #: Words of a window and from one window's begin to the next.
 WINDOW, STRIDE = 32, 24
 #: Rows of the word and character tables, vector size of each, state size of each direction, attention size.
@@ -249,13 +252,22 @@ def most_toxic(logits: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> pa.Table:
-    """Bounded sample of the labelled training rows: ``text``, ``toxic``; the rows of least hash of each label."""
+    """Bounded sample of the labelled training rows: ``text``, ``toxic``; the texts of least hash of each label.
+
+    Copies of a text are one row, with their highest label, so neither repeated
+    ids nor repeated texts make it larger.
+    """
     marks = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = docs.where(~held_out).select("doc_id").join(marks, "doc_id").distinct()
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [ids.where(F.col("toxic") == t).orderBy(*by_hash).limit(n) for t, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))]
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").toArrow()
-    return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    train = docs.where(~held_out).select("doc_id", F.xxhash64("text").alias("h"), "text")
+    texts = train.select("doc_id", "h").join(marks, "doc_id").groupBy("h").agg(F.max("toxic").alias("toxic"))
+    chosen = [texts.where(F.col("toxic") == t).orderBy("h").limit(n) for t, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))]
+    chosen = chosen[0].union(chosen[1])
+    own = train.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    own = stored(own.join(F.broadcast(chosen), "h"), "toxicity-sample")
+    # A whole text counts as long as the texts up to it stay within the bound, whatever its length.
+    so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(Window.orderBy("h"))
+    within = own.select("h", so_far.alias("bytes")).where(F.col("bytes") <= TRAIN_BYTES).select("h")
+    return own.join(F.broadcast(within), "h").orderBy("h").select("text", "toxic").toArrow()
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: F.Column, carried: Sequence[str] = ()) -> DataFrame:

@@ -178,7 +178,7 @@ def test_pipeline_stages(spark, monkeypatch):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_decides_row_by_row(spark, monkeypatch, tmp_path):
