@@ -47,13 +47,13 @@ _GROUPS = 24
 def counts_of(words: Words) -> np.ndarray:
     """One row per text: logarithms of the counts of its sequences, by cell."""
     texts = len(words.first) - 1
-    inside = np.zeros(len(words.data) + 1, np.int32)  # words are separate runs of letters
+    inside = np.zeros(len(words.data) + 1, np.int8)  # words are separate runs of letters
     inside[words.start] += 1
     inside[words.start + words.length] -= 1
-    inside = np.cumsum(inside[:-1]) > 0
-    run = np.zeros(len(words.data), np.int64)
+    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+    run = np.zeros(len(words.data), np.int32)
     run[words.start] = 1
-    run = np.cumsum(run)
+    run = np.cumsum(run, dtype=np.int32)
     data = words.data.astype(np.uint64)
     owner = np.zeros(len(words.start) + 1, np.int64)
     owner[1:] = words.text
@@ -187,7 +187,8 @@ def _centroids_of_a_language(idf: np.ndarray):
         cells = pc.list_flatten(table["cells"]).to_numpy()
         rows[owner, cells] = pc.list_flatten(table["counts"]).to_numpy() * idf[cells]
         real = rows.any(axis=1)
-        rows, size = unit_rows(rows[real]), table["size"].to_numpy()[real]
+        rows, size = rows if real.all() else rows[real], table["size"].to_numpy()[real]
+        rows /= np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
         fold, best = np.arange(len(rows)) % FOLDS, np.zeros(len(rows))
         for k in range(FOLDS):
             others = rows[fold != k]

@@ -11,7 +11,7 @@ import pyarrow as pa
 #: What separates words in the contracts: blank and 0x09 to 0x0D.
 WHITE = b" \t\n\x0b\x0c\r"
 #: Bytes of text handled at once; bounds the numpy arrays of a task.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _power = np.ones(1, np.uint64)
