@@ -44,6 +44,7 @@ HEADLINE = [
     "dim_join",
     "lr_score",
     "tune_grid",
+    "tune_flow",
     "rf_score",
     "model_roundtrip",
     "positive_order_ids",

@@ -7,6 +7,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Column of row weights.
+WEIGHT = "_weight"
+
 
 def class_ratio(df: DataFrame, target: str, minority: Any = 1, majority: Any = 0) -> DataFrame:
     """Rows of both classes and their integer ratio; null if the minority is empty."""
@@ -41,3 +44,15 @@ def oversample(
         times = F.lit(ratio)
     copies = F.when(F.col(target) == minority, F.greatest(times, F.lit(1))).otherwise(1)
     return replicate_rows(df.filter(F.col(target).isin(minority, majority)), copies)
+
+
+def weigh_classes(df: DataFrame, target: str, minority: Any = 1, majority: Any = 0, name: str = WEIGHT) -> DataFrame:
+    """Rows of both classes with the weight that ``oversample`` gives them as copies.
+
+    Sums over weighted rows are those over the copies, so statistics and fits
+    that take weights give the same without a row more. The ratio is one small
+    job over the target column.
+    """
+    ratio = class_ratio(df, target, minority, majority).first()["ratio"] or 1
+    weight = F.when(F.col(target) == minority, float(max(ratio, 1))).otherwise(1.0)
+    return df.filter(F.col(target).isin(minority, majority)).withColumn(name, weight)

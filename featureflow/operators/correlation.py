@@ -9,11 +9,12 @@ from itertools import combinations
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.columns import exceeds, ordered_pair
 from ..sources.dimensions import dim_table
+from .balance import replicate_rows
 from .stacking import SLOT, VALUE
 
 PAIRS_SCHEMA = "col_a string, col_b string, corr double"
@@ -21,6 +22,7 @@ SHIFT_ROWS = 1_000
 COLUMNS_PER_SCAN = 80
 SHIFT_TOLERANCE = 1e4
 LAST_DIGIT = 4e-16
+_TIMES = "_times"
 
 
 def correlate(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -38,17 +40,24 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dim_table(df.sparkSession, _pair_rows(df, columns), PAIRS_SCHEMA)
 
 
-def _pair_rows(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, float | None]]:
+def _pair_rows(
+    df: DataFrame, columns: Sequence[str], weight: str | None = None
+) -> list[tuple[str, str, float | None]]:
     columns = list(columns)
-    matrix = _matrix(df, columns)
+    matrix = _matrix(df, columns, weight)
     index = {name: i for i, name in enumerate(columns)}
     return [(a, b, matrix[index[a]][index[b]]) for a, b in combinations(sorted(columns), 2)]
 
 
-def _matrix(df: DataFrame, columns: list[str]) -> list[list[float | None]]:
-    doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+def _matrix(df: DataFrame, columns: list[str], weight: str | None = None) -> list[list[float | None]]:
+    times = [] if weight is None else [F.col(weight).alias(_TIMES)]
+    doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns], *times)
     matrix = _complete_correlations(doubles, columns)
-    return _pairwise_correlations(doubles, columns) if matrix is None else matrix
+    if matrix is not None:
+        return matrix
+    # Spark's pairwise correlation takes no weights: whole ones become copies.
+    copied = doubles if weight is None else replicate_rows(doubles, F.col(_TIMES))
+    return _pairwise_correlations(copied, columns)
 
 
 def _chunks(columns: Sequence[str]) -> list[list[str]]:
@@ -97,20 +106,25 @@ def _mean(values: list[float | None]) -> float:
 
 
 def _product_sums(df: DataFrame, columns: list[str], shifts: dict[str, float]):
-    shifted = df.select(*[(F.col(name) - F.lit(shifts[name])).alias(name) for name in columns])
+    times = [_TIMES] if _TIMES in df.columns else []
+    shifted = df.select(*[(F.col(name) - F.lit(shifts[name])).alias(name) for name in columns], *times)
+
+    def total(value: Column) -> Column:
+        return F.sum(value * F.col(_TIMES)) if times else F.sum(value)
+
     width = len(columns)
     sums, products = np.zeros(width), np.zeros((width, width))
     n, complete, done = 0, True, 0
     for chunk in _chunks(columns):
-        rows = _stacked(shifted, columns, chunk).agg(
-            F.count("*").alias("n"),
-            F.count(VALUE).alias("present"),
-            F.sum(VALUE).alias("total"),
-            *[F.sum(F.col(VALUE) * F.col(name)).alias(f"p{j}") for j, name in enumerate(chunk)],
+        rows = _stacked(shifted, columns, [*chunk, *times]).agg(
+            (total(F.lit(1)) if times else F.count("*")).alias("n"),
+            F.count_if(F.col(VALUE).isNull()).alias("missing"),
+            total(F.col(VALUE)).alias("total"),
+            *[total(F.col(VALUE) * F.col(name)).alias(f"p{j}") for j, name in enumerate(chunk)],
         )
         for row in rows.collect():
             n = row["n"]
-            if row["present"] < n:
+            if row["missing"]:
                 return n, sums, products, False
             sums[row[SLOT]] = row["total"]
             products[row[SLOT], done : done + len(chunk)] = [row[f"p{j}"] for j in range(len(chunk))]
@@ -187,8 +201,10 @@ def kept_columns(names: DataFrame, pairs: DataFrame, column: str = "column_name"
     return names.join(dropped, column, "left_anti")
 
 
-def prune_correlated(df: DataFrame, columns: Sequence[str], threshold: float = 0.6) -> list[str]:
-    """``columns`` without the later name of each strong pair, in their order."""
-    pairs = _pair_rows(df, columns)
+def prune_correlated(
+    df: DataFrame, columns: Sequence[str], threshold: float = 0.6, weight: str | None = None
+) -> list[str]:
+    """``columns`` without the later name of each strong pair, in their order; rows count by ``weight``, if given."""
+    pairs = _pair_rows(df, columns, weight)
     dropped = {b for _, b, corr in pairs if corr is not None and abs(corr) > threshold}
     return [name for name in columns if name not in dropped]

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder, work_path
 from ..sources.dimensions import dim_table
+from .stacking import SLOT
 
 # Suffixes of the columns that the steps add.
 INDEXED, CODED = "_Indexed", "_Coded"
@@ -146,21 +147,36 @@ class CategoryIndexer(Estimator):
     The fitted model holds one table per column, not a label list on the
     driver, and looks categories up by join. ``handle_invalid``: a null or a
     category that training did not see fails the job (``error``) or gets the
-    index after the last one (``keep``).
+    index after the last one (``keep``). Values are compared as text. With
+    ``weight``, the name of a column, a row counts as so many.
     """
 
-    def __init__(self, columns: Sequence[str], handle_invalid: str = "error"):
+    def __init__(self, columns: Sequence[str], handle_invalid: str = "error", weight: str | None = None):
         super().__init__()
-        self.columns, self.handle_invalid = list(columns), handle_invalid
+        self.columns, self.handle_invalid, self.weight = list(columns), handle_invalid, weight
 
     def _fit(self, dataset: DataFrame) -> CategoryIndexModel:
-        tables, sizes = [], []
-        for column in self.columns:
-            index = category_index(dataset, column).select(F.col(column).alias("value"), "index")
-            path = work_path(dataset.sparkSession, "categories")
-            index.write.parquet(path)
-            tables.append(dataset.sparkSession.read.schema(index.schema).parquet(path))
-            sizes.append(tables[-1].count())
+        """All columns by one count, one sort and one written table."""
+        spark, times = dataset.sparkSession, F.lit(1) if self.weight is None else F.col(self.weight)
+        texts = F.array(*[F.col(c).cast("string") for c in self.columns])
+        stacked = dataset.select(F.posexplode(texts).alias(SLOT, "value"), times.alias("times"))
+        counts = stacked.filter("value is not null").groupBy(SLOT, "value").agg(F.sum("times").alias("rows"))
+        path = work_path(spark, "categories")
+        ordered = counts.orderBy(SLOT, F.desc("rows"), "value")
+        ordered.select(SLOT, "value", F.monotonically_increasing_id().alias("id")).write.parquet(path)
+        ordered = spark.read.schema(f"{SLOT} int, value string, id bigint").parquet(path)
+        part, place = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+        parts = ordered.groupBy(part.alias("part"), SLOT).agg(F.count("*").alias("n"), F.min(place).alias("first")).collect()
+        # Where a column's values begin in each part of the sort: one entry per part and column.
+        sizes, starts = [0] * len(self.columns), [[] for _ in self.columns]
+        for row in sorted(parts, key=lambda r: r["part"]):
+            starts[row[SLOT]].append((row["part"], sizes[row[SLOT]] - row["first"]))
+            sizes[row[SLOT]] += row["n"]
+        tables = []
+        for slot, own in enumerate(starts):
+            offsets = dim_table(spark, own or [(0, 0)], "part bigint, start bigint")
+            placed = ordered.filter(F.col(SLOT) == slot).join(F.broadcast(offsets), part == F.col("part"))
+            tables.append(placed.select("value", (F.col("start") + place).alias("index")))
         return CategoryIndexModel(self.columns, self.handle_invalid, tables, sizes)
 
 
@@ -175,9 +191,9 @@ class CategoryIndexModel(Model, MLWritable, MLReadable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         for column, table, size in zip(self.columns, self.tables, self.sizes, strict=True):
             name = column + INDEXED
-            lookup = table.select(F.col("value").alias(f"_{name}"), F.col("index").cast("double").alias(name))
+            lookup = table.select(F.col("value").cast("string").alias(f"_{name}"), F.col("index").cast("double").alias(name))
             # Spark broadcasts a small table; a large one is joined by shuffle, hot categories split.
-            dataset = dataset.join(lookup, F.col(column) == F.col(f"_{name}"), "left").drop(f"_{name}")
+            dataset = dataset.join(lookup, F.col(column).cast("string") == F.col(f"_{name}"), "left").drop(f"_{name}")
             if self.handle_invalid == "keep":
                 missing = F.lit(float(size))
             else:

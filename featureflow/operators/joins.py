@@ -14,18 +14,19 @@ def as_key(value: Column, given: T.DataType, kind: T.DataType) -> Column:
 
     Integers compare with integers as they are, so their statistics reach the
     scan and no digit is lost. Other values are whole numbers if they equal
-    one: text such as ``"0.0"`` is read as an exact decimal, or as a double
-    where it has an exponent.
+    one: of text such as ``"0.0"`` the zeros after the point are left out; what
+    is no whole number then is read as an exact decimal, or as a double beyond
+    its digits.
     """
     if not isinstance(kind, INTEGRAL):
         return value if given == kind else value.try_cast(kind)
     if isinstance(given, INTEGRAL):
         return value
     if isinstance(given, T.StringType):
-        exact = value.try_cast("decimal(38,18)")
-        whole = F.when(exact == F.floor(exact), exact.try_cast(kind))
-        number = value.try_cast("double")
-        return F.coalesce(value.try_cast(kind), whole, F.when(exact.isNull(), _whole(number, kind)))
+        # The usual texts take one pass over one value: the key is evaluated where rows are filtered and joined.
+        usual = F.regexp_replace(F.trim(value), F.lit(r"\.0*$"), F.lit("")).try_cast(kind)
+        exact, number = value.try_cast("decimal(38,18)"), value.try_cast("double")
+        return F.coalesce(usual, _whole(exact, kind), F.when(exact.isNull(), _whole(number, kind)))
     return _whole(value, kind)
 
 

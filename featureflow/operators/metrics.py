@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_folder
 from ..sources.dimensions import dim_table
+from .stacking import SLOT, VALUE
 
 
 def confusion_matrix(
@@ -52,38 +54,45 @@ def multiclass_accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame
 
 
 def area_under_roc(df: DataFrame, label: str, score: str) -> float | None:
-    """Exact area under ROC: the share of (positive, negative) pairs ranked right.
+    """Exact area under ROC: the share of (positive, negative) pairs ranked right; see ``areas_under_roc``."""
+    return areas_under_roc(df, label, [score])[0]
 
-    ``score`` is a number or a model's raw vector. Rows are reduced to counts
-    per distinct score before the sort, so a score shared by many rows is one
-    row of one range. Every range gives one row; the ranges are then put
-    together in order. Rows without a score or label are left out; null if a
-    class is missing.
+
+def areas_under_roc(df: DataFrame, label: str, scores: Sequence[str]) -> list[float | None]:
+    """Exact area under ROC of several scores, from one scan and one range partitioning.
+
+    A score is a number or a model's raw vector. Rows are reduced to counts
+    per distinct score before they are dealt to ranges, so a score shared by
+    many rows is one row of one range. Each range gives one row, and they are
+    put together in order of their least scores: neither the number of
+    partitions nor a task that runs again changes the result. Rows without a
+    score or label are left out; null if a class is missing.
     """
-    value = F.col(score)
-    if not isinstance(df.schema[score].dataType, T.NumericType):
-        value = F.get(vector_to_array(value), F.lit(1))
+
+    def value(name: str) -> Column:
+        number = F.col(name)
+        if not isinstance(df.schema[name].dataType, T.NumericType):
+            number = F.get(vector_to_array(number), F.lit(1))
+        return number.cast("double")
+
+    stacked = F.posexplode(F.array(*map(value, scores))).alias(SLOT, VALUE)
     counts = (
-        df.select(value.cast("double").alias("s"), (F.col(label) > 0.5).alias("y"))
-        .filter(F.col("s").isNotNull() & F.col("y").isNotNull())
-        .groupBy("s")
+        df.select((F.col(label) > 0.5).alias("y"), stacked)
+        .filter(F.col(VALUE).isNotNull() & F.col("y").isNotNull())
+        .groupBy(SLOT, VALUE)
         .agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     )
-    shared_folder(df.sparkSession)
-    # Sorted ranges and their numbers come from one run of the sort, kept in the checkpoint.
-    ordered = counts.orderBy("s").withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    part = F.shiftright("_id", 33)
-    below = F.sum("neg").over(Window.partitionBy("part").orderBy("_id")) - F.col("neg")
-    won = F.col("pos") * (below + F.col("neg") / 2)
-    ranges = ordered.withColumn("part", part).withColumn("won", won).groupBy("part").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won")
+    ranged = counts.repartitionByRange(SLOT, VALUE).withColumn("part", F.spark_partition_id())
+    below = F.sum("neg").over(Window.partitionBy("part", SLOT).orderBy(VALUE)) - F.col("neg")
+    ranges = ranged.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).groupBy(SLOT, "part").agg(
+        F.min(VALUE).alias("low"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won")
     )
-    below = positives = won = 0.0
-    for row in sorted(ranges.collect(), key=lambda r: r["part"]):
-        won += row["won"] + row["pos"] * below
-        below += row["neg"]
-        positives += row["pos"]
-    return won / (positives * below) if positives and below else None
+    sums = [[0.0, 0.0, 0.0] for _ in scores]
+    # One row per range; NaN is the greatest score, as in Spark's order.
+    for row in sorted(ranges.collect(), key=lambda r: (r[SLOT], math.isnan(r["low"]), r["low"])):
+        below, positives, won = sums[row[SLOT]]
+        sums[row[SLOT]] = [below + row["neg"], positives + row["pos"], won + row["won"] + row["pos"] * below]
+    return [won / (positives * below) if positives and below else None for below, positives, won in sums]
 
 
 def binned_area_under_roc(df: DataFrame, label: str, score: str, bins: int = 1000) -> float:

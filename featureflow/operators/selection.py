@@ -61,17 +61,18 @@ def _stacked_groups(stacked: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _vector_groups(df: DataFrame, features: str, label: str) -> DataFrame:
+def _vector_groups(df: DataFrame, features: str, label: str, weight: str | None = None) -> DataFrame:
     """Count, mean and variance of every slot by label, from sums over the stored entries of the vectors."""
     sums = Summarizer.metrics("count", "mean", "variance").summary(F.col(features)).alias("s")
-    groups = df.groupBy(label).agg(sums)
+    times = F.lit(1.0) if weight is None else F.max(weight)
+    groups = df.groupBy(label).agg(sums, times.alias("times"))
     n = F.col("s.count")
     slots = F.arrays_zip(
         vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("variance")
     )
-    rows = groups.select(n.alias("n"), F.posexplode(slots).alias(SLOT, "slot"))
+    rows = groups.select(n.alias("n"), "times", F.posexplode(slots).alias(SLOT, "slot"))
     variance = F.col("slot.variance") * F.try_divide(F.col("n") - 1, F.col("n"))
-    return rows.select(SLOT, "n", F.col("slot.mean").alias("mean"), variance.alias("variance"))
+    return rows.select(SLOT, (F.col("n") * F.col("times")).alias("n"), F.col("slot.mean").alias("mean"), variance.alias("variance"))
 
 
 def anova_scores(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -86,15 +87,19 @@ def top_share_by_score(
     label: str = "target",
     name: str = "selectedFeatures",
     share: float = 0.75,
+    weight: str | None = None,
 ) -> VectorSlicer:
     """Slicer of the best ``share`` of slots, ranked by F statistic instead of p value.
 
+    ``weight`` may name a column with one weight for all rows of a label: a row
+    counts as so many.
+
     Both rank alike until p values round to zero, which on large tables they
     do for most features: ``top_share`` then keeps the first slots, whatever
     their strength. Slots keep their order, as there. Zeros of sparse vectors
     cost nothing: one row per label is shuffled, no row per slot.
     """
-    scores = _f_scores(_vector_groups(df, features, label)).collect()
+    scores = _f_scores(_vector_groups(df, features, label, weight)).collect()
     # One row per vector slot.
     ranked = sorted(scores, key=lambda r: (-(-1.0 if r["f_score"] is None else r["f_score"]), r[SLOT]))
     best = sorted(row[SLOT] for row in ranked[: int(len(ranked) * share)])

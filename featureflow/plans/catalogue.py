@@ -976,31 +976,94 @@ def lr_odds_score(spark, folder):
 
 
 @query("MDL3 MDL4 MDL5")
-def tune_grid(spark, folder):
-    """The regression tuned behind feature stages fitted on the training part."""
+def tune_flow(spark, folder):
+    """The regression tuned behind feature stages fitted on the training part, classes balanced by weights."""
     flow = quality_flow()
     train, _ = flow.split(quality_table(spark, folder))
     regression = logistic_regression(maxIter=100)
-    grid = logistic_grid(regression)
-    with held(train) as kept:
-        table = flow.balanced(kept)
-        features = Pipeline(stages=flow.stages(flow.numeric)).fit(table)
-        prepared = features.transform(table).select("target", "selectedFeatures")
-        tuned = tune(regression, prepared, grid, parallelism=4)
-    return tuning_report(spark, tuned, grid)
+    pipeline = Pipeline(stages=[*flow.stages(flow.numeric), regression])
+    tuned = tune(pipeline, train, logistic_grid(regression), parallelism=4, keys=flow.keys, weigh=flow.weighted)
+    return tuning_report(spark, tuned)
+
+
+# With one binary feature the sign of its coefficient decides the ranking. The coefficient is zero where the
+# slope at zero, by the feature's spread, is within the absolute penalty; else it has the slope's opposite sign.
+TUNED_SQL = """
+    WITH g AS (
+        SELECT row_number() OVER (ORDER BY ri, ii, mi) - 1 AS candidate, reg, mix, icept
+        FROM (SELECT unnest({regs}) AS reg, generate_subscripts({regs}, 1) AS ri),
+             (SELECT unnest({intercepts}) AS icept, generate_subscripts({intercepts}, 1) AS ii),
+             (SELECT unnest({mixes}) AS mix, generate_subscripts({mixes}, 1) AS mi)
+    ),
+    l AS (
+        SELECT *, ('0x' || md5(concat_ws('|', doc_id::VARCHAR, 'validation'))[1:8])::BIGINT < round(0.7 * 4294967296) AS train FROM labels
+    ),
+    t AS (
+        SELECT train, count(*) FILTER (WHERE quality = 1 AND toxic = 1)::DOUBLE AS tp,
+               count(*) FILTER (WHERE quality = 0 AND toxic = 1)::DOUBLE AS fp,
+               count(*) FILTER (WHERE quality = 1 AND toxic = 0)::DOUBLE AS fn,
+               count(*) FILTER (WHERE quality = 0 AND toxic = 0)::DOUBLE AS tn
+        FROM l GROUP BY train
+    ),
+    w AS (SELECT tp, fp, fn, tn, greatest((tp + fn) // (fp + tn), 1) AS c FROM t WHERE train),
+    s AS (SELECT *, tp + c * fp AS x, tp + fn + c * (fp + tn) AS n, tp + fn + c * c * (fp + tn) AS nn FROM w),
+    m AS (
+        SELECT g.*, ((CASE WHEN icept THEN (tp + fn) / n ELSE 0.5 END) * x - tp) / n
+                    / sqrt((x - x * x / n) / (n - nn / n)) AS slope
+        FROM g, s
+    ),
+    v AS (SELECT (tp * tn + (tp * fp + fn * tn) / 2) / ((tp + fn) * (fp + tn)) AS area FROM t WHERE NOT train),
+    r AS (
+        SELECT candidate, reg, mix, icept,
+               CASE WHEN abs(slope) <= reg * mix THEN 0.5 WHEN slope < 0 THEN area ELSE 1 - area END AS metric
+        FROM m, v
+    )"""
+
+
+def tuned_sql(regs: str, mixes: str, intercepts: str) -> str:
+    return TUNED_SQL.format(regs=regs, mixes=mixes, intercepts=intercepts)
+
+
+def odds_tuned(spark, folder, *grid):
+    """The search on one binary feature, where what each candidate reaches is known."""
+    labels = read_table(spark, folder, "labels").withColumnRenamed("quality", "target")
+    regression = logistic_regression(maxIter=200, tol=1e-8)
+    stages = [encoding.assemble(["toxic"], "selectedFeatures"), regression]
+    return tune(
+        Pipeline(stages=stages),
+        labels,
+        logistic_grid(regression, *grid),
+        parallelism=4,
+        keys=["doc_id"],
+        weigh=lambda part: balance.weigh_classes(part, "target", 0, 1),
+    )
+
+
+@query(
+    "MDL3 MDL4 MDL5",
+    tuned_sql("[0.01, 0.1, 0.5]", "[0.0, 0.5, 1.0]", "[true, false]")
+    + """
+    SELECT candidate::INTEGER AS candidate,
+           format('elasticNetParam={}, fitIntercept={}, regParam={}', mix, CASE WHEN icept THEN 'True' ELSE 'False' END, reg) AS params,
+           round(metric, 9) AS metric, true AS optimal
+    FROM r""",
+)
+def tune_grid(spark, folder):
+    return rounded(tuning_report(spark, odds_tuned(spark, folder)), 9, "metric")
 
 
-@query("MDL4 MDL5 MDL7")
+@query(
+    "MDL4 MDL5 MDL7",
+    tuned_sql("[10.0, 0.01]", "[1.0]", "[true]")
+    + """,
+    b AS (SELECT reg, mix FROM r ORDER BY round(metric, 12) DESC, candidate LIMIT 1)
+    SELECT 'elasticNetParam' AS param, mix::DOUBLE::VARCHAR AS value FROM b
+    UNION ALL SELECT 'fitIntercept', 'True'
+    UNION ALL SELECT 'regParam', reg::DOUBLE::VARCHAR FROM b""",
+)
 def best_params(spark, folder):
-    """The whole pipeline tuned over two regularisations."""
-    flow = quality_flow()
-    train, _ = flow.split(quality_table(spark, folder))
-    regression = logistic_regression(maxIter=100)
-    stages = [*flow.stages(flow.numeric), regression]
-    grid = logistic_grid(regression, (0.01, 0.5), (0.0,), (True,))
-    with held(train) as table:
-        tuned = tune(Pipeline(stages=stages), flow.balanced(table), grid, parallelism=2)
-    return best_parameters(spark, tuned)
+    """The whole pipeline tuned, among candidates one of which leaves no feature."""
+    return best_parameters(spark, odds_tuned(spark, folder, (10.0, 0.01), (1.0,), (True,)))
 
 
 @query("MDL2 FEA5 FEA8 MDL7 MDL8")

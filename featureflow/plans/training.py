@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -15,7 +16,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.balance import class_ratio, oversample
+from ..operators.balance import WEIGHT, class_ratio, oversample, replicate_rows, weigh_classes
 from ..operators.correlation import prune_correlated
 from ..operators.encoding import (
     CODED,
@@ -33,7 +34,7 @@ from ..operators.scaling import min_max
 from ..operators.selection import top_share, top_share_by_score
 from ..sources.dimensions import dim_table
 from .held import held
-from .tuning import logistic_grid, tune
+from .tuning import logistic_grid, tune_parts, validation_split
 
 # The settings of the churn model and of its tuning split.
 CHURN_REGRESSION = {"maxIter": 1000, "regParam": 0.2, "elasticNetParam": 0.8}
@@ -85,8 +86,8 @@ class ChurnFlow:
     """What to learn from, and how; ``fit`` returns one saved-as-a-whole pipeline model.
 
     The test part is split off first by key and only the training part is
-    balanced, so no copy of a test row and no statistic of one reaches
-    training. ``oversample_first`` balances before the split instead, which
+    balanced, by weights in all statistics and in the regression, so no row is
+    copied and no statistic of a test row reaches training. ``oversample_first`` balances before the split instead, which
     lets copies of a row land on both sides. With ``handle_invalid="keep"`` a
     category that training did not see is scored as none of the known ones;
     by default it fails the job. Features are ranked by F statistic;
@@ -135,43 +136,57 @@ class ChurnFlow:
             numeric, self.categorical, self.label, self.share, self.handle_invalid
         )
 
-    def fit_features(self, table: DataFrame, numeric: Sequence[str]) -> PipelineModel:
+    def weighted(self, train: DataFrame) -> DataFrame:
+        """The training rows with the weights that stand for copies of the minority."""
+        if self.oversample_first:
+            return train.withColumn(WEIGHT, F.lit(1.0))
+        return weigh_classes(train, self.label, self.minority, 1 - self.minority)
+
+    def fit_scaled(self, table: DataFrame, numeric: Sequence[str]) -> PipelineModel:
+        """Stages up to ``scaledFeatures``, fitted on weighted rows."""
         coded: list[Transformer] = []
         if self.categorical:
-            index = CategoryIndexer(self.categorical, self.handle_invalid).fit(table)
+            index = CategoryIndexer(self.categorical, self.handle_invalid, WEIGHT).fit(table)
             coded = [index, index.coder()]
         scaled = [assemble(numeric, "numbers"), min_max("numbers", "scaledNumbers")] if numeric else []
         codes = [name + INDEXED + CODED for name in self.categorical]
         parts = [*(["scaledNumbers"] if numeric else []), *codes]
-        stages = [*coded, *scaled, assemble(parts, "scaledFeatures")]
-        features = Pipeline(stages=stages).fit(table)
-        ready = features.transform(table)
-        if self.select_by == "p_value":
-            selector = top_share(label=self.label, share=self.share).fit(ready)
-        else:
-            selector = top_share_by_score(ready, label=self.label, share=self.share)
-        return PipelineModel(stages=[*features.stages, selector])
+        return Pipeline(stages=[*coded, *scaled, assemble(parts, "scaledFeatures")]).fit(table)
+
+    def fit_selector(self, ready: DataFrame) -> Transformer:
+        if self.select_by == "p_value":  # the stock selector takes no weights
+            return top_share(label=self.label, share=self.share).fit(replicate_rows(ready, F.col(WEIGHT)))
+        return top_share_by_score(ready, label=self.label, share=self.share, weight=WEIGHT)
+
+    @contextmanager
+    def prepared(self, table: DataFrame) -> Iterator[tuple[PipelineModel, DataFrame]]:
+        """Feature stages fitted on weighted rows, and what they make of them, evaluated once for all later scans."""
+        numeric = prune_correlated(table, self.numeric, self.threshold, WEIGHT)
+        scaled = self.fit_scaled(table, numeric)
+        with held(scaled.transform(table).select(self.label, WEIGHT, "scaledFeatures")) as ready:
+            selector = self.fit_selector(ready)
+            selected = selector.transform(ready).select(self.label, WEIGHT, "selectedFeatures")
+            yield PipelineModel(stages=[*scaled.stages, selector]), selected
 
     def fit(self, train: DataFrame) -> PipelineModel:
         """Fit all stages on ``train``, which is kept in memory or on disk meanwhile.
 
-        With a ``grid`` the feature stages are fitted once and only the
-        regression is tuned on their output; the pipeline keeps the very
-        stages the winner was trained behind.
+        With a ``grid`` all stages are first fitted on a part of ``train`` by key,
+        and the candidates measured on the rest, which no stage has seen; the
+        best one is then fitted, with its stages, on all of ``train``.
         """
+        regression = logistic_regression(label=self.label, **self.regression).setWeightCol(WEIGHT)
         with held(train) as table:
-            table = self.balanced(table)
-            numeric = prune_correlated(table, self.numeric, self.threshold)
-            features = self.fit_features(table, numeric)
-            prepared = features.transform(table).select(self.label, "selectedFeatures")
-            regression = logistic_regression(label=self.label, **self.regression)
-            if self.grid is None:
-                model = regression.fit(prepared)
-            else:
+            chosen = {}
+            if self.grid is not None:
                 grid = logistic_grid(regression, **self.grid)
-                with held(prepared) as ready:
-                    tuned = tune(regression, ready, grid, self.label, self.parallelism, seed=self.seed)
-                model = tuned.bestModel
+                part, valid = validation_split(table, self.keys)
+                with self.prepared(self.weighted(part)) as (features, ready):
+                    measured = features.transform(valid)
+                    tuned = tune_parts(regression, ready, measured, grid, self.label, self.parallelism)
+                chosen = grid[tuned.best]
+            with self.prepared(self.weighted(table)) as (features, ready):
+                model = regression.fit(ready, chosen)
         return PipelineModel(stages=[*features.stages, model])
 
 

@@ -5,9 +5,11 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from featureflow.functions import binary_target
+from featureflow.operators.balance import weigh_classes
+from featureflow.operators.correlation import _pair_rows
 from featureflow.operators.encoding import assemble
 from featureflow.operators.joins import join_dimension
-from featureflow.operators.metrics import training_summary
+from featureflow.operators.metrics import area_under_roc, training_summary
 from featureflow.plans.held import held
 from featureflow.plans.scoring import label_lines, positive_ids, score, write_positive_ids
 from featureflow.plans.training import (
@@ -18,7 +20,14 @@ from featureflow.plans.training import (
     importance_table,
     logistic_regression,
 )
-from featureflow.plans.tuning import best_parameters, logistic_grid, tune, tuning_report
+from featureflow.plans.tuning import (
+    best_parameters,
+    logistic_grid,
+    optimality_residuals,
+    tune,
+    tuning_report,
+    validation_split,
+)
 from featureflow.schemas import IRIS_CLASSES, IRIS_CLASSES_SCHEMA
 from featureflow.sinks import save_model
 from featureflow.sources import dim_table, load_model
@@ -170,12 +179,62 @@ def test_tuning(spark, customers, flow):
     grid = logistic_grid(regression, (0.01, 10.0), (1.0,), (True,))
     pipeline = Pipeline(stages=[assemble(["age"], "age_vector"), regression])
     model = tune(pipeline, train, grid)
-    report = tuning_report(spark, model, grid).collect()
+    report = tuning_report(spark, model).collect()
     assert report[0]["metric"] > report[1]["metric"] and "regParam=0.01" in report[0]["params"]
     best = {r["param"]: r["value"] for r in best_parameters(spark, model).collect()}
     assert best == {"elasticNetParam": "1.0", "fitIntercept": "True", "regParam": "0.01"}
 
 
+def test_weights_stand_for_copies(spark, customers):
+    """Statistics, categories, selection and coefficients of weighted rows are those of the copies."""
+    flow = ChurnFlow(NUMERIC, ["gender", "card"], ["id"], regression={"regParam": 0.0, "tol": 1e-10})
+    train, _ = flow.split(customers)
+    weighted, copied = flow.weighted(train), flow.balanced(train).withColumn("_weight", F.lit(1.0))
+    assert weighted.count() == train.count() and weighted.agg(F.sum("_weight")).first()[0] == copied.count()
+    holes = F.when(F.col("id") % 7 > 0, F.col("age")).alias("limit")
+    with_nulls = [t.select("balance", "age", holes, "_weight") for t in (weighted, copied)]
+    for tables in ((weighted, copied), with_nulls):
+        pairs = [_pair_rows(t, NUMERIC, "_weight") for t in tables]
+        assert [p[:2] for p in pairs[0]] == [p[:2] for p in pairs[1]]
+        assert [p[2] for p in pairs[0]] == pytest.approx([p[2] for p in pairs[1]])
+    fitted = []
+    for table in (weighted, copied):
+        with flow.prepared(table) as (features, ready):
+            index, selector = features.stages[0], features.stages[-1]
+            labels = [[tuple(r) for r in t.orderBy("index").collect()] for t in index.tables]
+            model = logistic_regression(regParam=0.0, tol=1e-10).setWeightCol("_weight").fit(ready)
+            fitted.append((labels, selector.getIndices(), [*model.coefficients.toArray(), model.intercept]))
+    assert fitted[0][:2] == fitted[1][:2]
+    assert fitted[0][2] == pytest.approx(fitted[1][2], abs=1e-4)
+    assert "Generate" not in weighted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tuning_does_not_depend_on_the_partitions(spark, customers):
+    regression = logistic_regression("v", maxIter=200, tol=1e-10)
+    grid = logistic_grid(regression, (0.01, 0.2), (0.0, 1.0), (True, False))
+    pipeline = Pipeline(stages=[assemble(["age", "balance"], "v"), regression])
+    weigh = lambda part: weigh_classes(part, "target")
+    train = customers.select("id", "age", "balance", "target")
+    found = [tune(pipeline, train.repartition(n, "id"), grid, keys=["id"], weigh=weigh, parallelism=3) for n in (2, 8)]
+    assert found[0].metrics == pytest.approx(found[1].metrics, abs=1e-9) and found[0].best == found[1].best
+    # No row of the validation part is copied, and each candidate's area is that of its own scores.
+    part, valid = validation_split(train, ["id"])
+    assert part.join(valid, "id").count() == 0 and valid.count() == valid.distinct().count()
+    vectors = assemble(["age", "balance"], "v").transform(valid)
+    for model, metric in zip(found[0].models, found[0].metrics, strict=True):
+        assert metric == pytest.approx(area_under_roc(model.transform(vectors), "target", "rawPrediction"), abs=1e-12)
+
+
+def test_residual_tells_a_fit_from_a_guess(spark, customers):
+    table = weigh_classes(assemble(["age", "balance"], "v").transform(customers), "target")
+    models = [
+        logistic_regression("v", regParam=reg, elasticNetParam=mix, fitIntercept=icept, maxIter=most, tol=1e-9).setWeightCol("_weight").fit(table)
+        for reg, mix, icept, most in ((0.0, 0.0, True, 300), (0.1, 0.5, True, 300), (0.05, 1.0, False, 300), (0.0, 0.0, True, 1))
+    ]
+    residuals = optimality_residuals(table, models)
+    assert max(residuals[:3]) < 1e-4 < residuals[3]
+
+
 def test_held_sizes_partitions(spark):
     small = spark.range(100).repartition(8)
     with held(small) as table:
