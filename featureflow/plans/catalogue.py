@@ -7,12 +7,15 @@ whole. ``ids`` names the operators a query exercises.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import dataclass
 from itertools import combinations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +51,7 @@ from ..sinks import (
 )
 from ..sources import dim_table, load_model, read_csv, read_libsvm, read_table, read_table_stream
 from ..sources.streams import text_values
-from ..streaming import score_batches, score_keys, score_labels, send_batches, set_broken_aside
+from ..streaming import SendOnce, read_once, score_batches, score_keys, score_labels, send_batches, set_broken_aside
 from .held import held
 from .scoring import score, write_positive_ids
 from .training import (
@@ -687,6 +690,24 @@ def one_hot(spark, folder):
     return coded.select("o_orderkey", slots).filter(F.col("value") != 0)
 
 
+@query(
+    "FEA2 FEA3",
+    f"""{CATEGORY_SQL},
+        c AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL)
+        SELECT o_orderstatus, index::INTEGER AS slot, n::DOUBLE AS rows
+        FROM c JOIN idx USING (o_custkey) WHERE index < (SELECT max(index) FROM idx)""",
+)
+def coded_customers(spark, folder):
+    """Sparse codes of a column with as many categories as customers, summed by status."""
+    orders = read_table(spark, folder, "orders").select("o_custkey", "o_orderstatus")
+    index = encoding.CategoryIndexer(["o_custkey"]).fit(orders)
+    coded = index.coder().transform(index.transform(orders))
+    total = Summarizer.metrics("sum").summary(F.col("o_custkey_Indexed_Coded")).alias("s")
+    sums = coded.groupBy("o_orderstatus").agg(total)
+    slots = F.posexplode(vector_to_array("s.sum")).alias("slot", "rows")
+    return sums.select("o_orderstatus", slots).filter(F.col("rows") != 0)
+
+
 VECTOR_COLUMNS = ["l_linenumber", "l_discount", "l_tax", "l_quantity"]
 
 
@@ -1138,6 +1159,68 @@ def positive_order_ids(spark, folder):
     return read_csv(spark, path, "o_orderkey bigint", header=False)
 
 
+def learned_model(spark: SparkSession, folder: str) -> PipelineModel:
+    """The regression whose answer is known, fitted, saved and loaded again."""
+    labels = read_table(spark, folder, "labels").withColumnRenamed("quality", "target")
+    stages = [encoding.assemble(["toxic"], "selectedFeatures"), logistic_regression(**ODDS)]
+    path = work_path(spark, "learned")
+    save_model(Pipeline(stages=stages).fit(labels), path)
+    return load_model(path)
+
+
+LEARNED_SQL = f"""{ODDS_SQL},
+    p AS (SELECT doc_id, toxic, CASE WHEN toxic = 1 THEN tp > fp ELSE fn > tn END AS good FROM labels, c)"""
+
+
+@query("MDL9 MDL1 MDL8 SNK7 SRC9 FLT1 PRJ1 SNK1", f"{LEARNED_SQL} SELECT doc_id FROM p WHERE good")
+def learned_ids(spark, folder):
+    """Keys that a learned, saved and loaded model predicts as positive, as text files."""
+    model, path = learned_model(spark, folder), work_path(spark, "positive")
+    write_positive_ids(model, read_table(spark, folder, "labels").select("doc_id", "toxic"), "doc_id", path)
+    return read_csv(spark, path, "doc_id bigint", header=False)
+
+
+def label_stream(spark: SparkSession, folder: str) -> DataFrame:
+    labels = read_table_stream(spark, folder, "labels")
+    return labels.select(join_fields("doc_id", "toxic").alias("value"))
+
+
+LABEL_SCHEMA = record("doc_id bigint, toxic int")
+LEARNED_LINES_SQL = f"{LEARNED_SQL} SELECT doc_id || ',' || CASE WHEN good THEN '1.0' ELSE '0.0' END AS value FROM p"
+
+
+@query("STR1 STR4 STR5 MDL8 SNK7 SRC9", LEARNED_LINES_SQL)
+def stream_learned(spark, folder):
+    """Lines of a stream through a learned, saved and loaded model."""
+    lines = score_keys(label_stream(spark, folder), learned_model(spark, folder), LABEL_SCHEMA, "doc_id")
+    out, checkpoint = work_path(spark, "stream"), work_path(spark, "progress")
+    wait(start_stream(lines, checkpoint, "parquet", {"path": out}, every=None))
+    return spark.read.parquet(out)
+
+
+@query(
+    "SNK4 STR3 STR6 MDL8",
+    f"""{LEARNED_SQL} SELECT doc_id || ',' || CASE WHEN good THEN '1.0' ELSE '0.0' END AS value, 1::BIGINT AS copies FROM p""",
+)
+def stream_once(spark, folder):
+    """A learned model's messages, sent once although the first try of the batch failed between sending and commit."""
+    model = learned_model(spark, folder)
+    out, log, checkpoint = (work_path(spark, name) for name in ("messages", "sent", "progress"))
+    sender = SendOnce(spark, lambda b: score_keys(b, model, LABEL_SCHEMA, "doc_id"), out, log)
+
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        sender.send(batch, batch_id)
+        raise RuntimeError("lost between sending and commit")
+
+    lines = label_stream(spark, folder)
+    with suppress(StreamingQueryException):
+        wait(start_batches(lines, failing, checkpoint, every=None))
+    wait(start_batches(lines, sender, checkpoint, every=None))
+    again = read_table(spark, folder, "labels").select(join_fields("doc_id", "toxic").alias("value"))
+    sender(again, 0)  # a committed batch is not sent again
+    return read_once(spark, out).groupBy("value").agg(F.count("*").alias("copies"))
+
+
 @query("GEN2 FEA1 FEA2 FEA3 FEA4 FEA6 FEA7 FEA9 MDL1 MDL7 MDL8 AGG8 AGG9 AGG11")
 def churn_flow(spark, folder):
     """Flagship: from the raw tables to the quality of the model on rows it has not seen."""

@@ -1,7 +1,9 @@
 """The same pipelines applied to streams."""
 
 from .scoring import (
+    SendOnce,
     key_prediction_lines,
+    read_once,
     score_batches,
     score_keys,
     score_labels,
@@ -10,7 +12,9 @@ from .scoring import (
 )
 
 __all__ = [
+    "SendOnce",
     "key_prediction_lines",
+    "read_once",
     "score_batches",
     "score_keys",
     "score_labels",

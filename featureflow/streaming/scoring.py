@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,6 +82,48 @@ def send_batches(
     return handle
 
 
+MESSAGE_ID = "message_id"
+
+
+class SendOnce:
+    """Handler that appends a micro-batch's messages to ``folder`` so that readers see each once.
+
+    A message's id is its batch, its text and its number among equal texts of
+    the batch: the same however often, and on whatever partitions, the batch
+    runs. A committed batch has an empty file of its number in ``log``, a shared
+    folder, and is not sent again; one that failed between sending and commit is,
+    with the same ids, and ``read_once`` drops what is there twice.
+    """
+
+    def __init__(self, spark: SparkSession, scorer: Callable[[DataFrame], DataFrame], folder: str, log: str):
+        self.scorer, self.folder, self.log = scorer, folder, log
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.files = self.path(log).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def send(self, batch: DataFrame, batch_id: int) -> None:
+        # Copies of a text are counted first: a very common text is one row until it is written.
+        texts = self.scorer(batch).groupBy("value").agg(F.count("*").alias("copies"))
+        copies = texts.select("value", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+        number = F.concat_ws("-", F.lit(str(batch_id)), F.sha2("value", 256), "copy")
+        copies.select(number.alias(MESSAGE_ID), "value").write.mode("append").parquet(self.folder)
+
+    def committed(self, batch_id: int) -> bool:
+        return self.files.exists(self.path(f"{self.log}/{batch_id}"))
+
+    def commit(self, batch_id: int) -> None:
+        self.files.create(self.path(f"{self.log}/{batch_id}"), False).close()
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if not self.committed(batch_id):
+            self.send(batch, batch_id)
+            self.commit(batch_id)
+
+
+def read_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of ``send_once``, each one time."""
+    return spark.read.parquet(folder).dropDuplicates([MESSAGE_ID]).select("value")
+
+
 def set_broken_aside(
     good: Callable[[DataFrame, int], None],
     bad: Callable[[DataFrame, int], None],

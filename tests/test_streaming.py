@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 from featureflow.schemas import record
 from featureflow.sinks import start_batches, start_stream, wait
 from featureflow.sources import read_table_stream, read_text_stream
-from featureflow.streaming import score_batches, score_keys, send_batches
+from featureflow.streaming import SendOnce, read_once, score_batches, score_keys, send_batches
 
 SCHEMA = record("id int, value double")
 RULE = "SELECT *, CASE WHEN value > 5 THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__"
@@ -130,3 +132,16 @@ def test_stream_plan_has_no_python_and_no_state(spark, model, tmp_path):
     lines = score_keys(source(spark, folder), model, SCHEMA, "id").filter(F.lit(True))
     plan = lines._jdf.queryExecution().analyzed().toString()
     assert lines.isStreaming and "Python" not in plan and "Aggregate" not in plan
+
+
+def test_messages_are_seen_once_whatever_fails(spark, tmp_path):
+    """Sent twice before the commit, sent again after it, on other partitions, with repeated and empty messages."""
+    batch = spark.createDataFrame([("a",)] * 5 + [("b",), ("",), ("c",)], "value string")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    sender = SendOnce(spark, lambda b: b, out, log)
+    sender.send(batch, 0)
+    sender(batch.repartition(5), 0)
+    sender(batch.repartition(2), 0)
+    sender(batch.filter("value = 'a'").limit(1), 1)
+    assert spark.read.parquet(out).count() == 17
+    assert Counter(r["value"] for r in read_once(spark, out).collect()) == Counter({"a": 6, "b": 1, "": 1, "c": 1})
