@@ -152,6 +152,24 @@ def test_totals_follow_inserts_revisions_and_deletes(spark, tmp_path):
     assert state(4) == state(3)
 
 
+def test_corrected_and_missing_batches(spark, tmp_path):
+    """Other rows under a committed number: refused once later batches build on them, taken while it is the last one."""
+    path = str(tmp_path / "store")
+    rollup.commit(changes(spark, (1, False, "a", "en", "v1", 10)), path, 0)
+    rollup.commit(changes(spark, (2, False, "a", "en", "v1", 20)), path, 1)
+    rollup.commit(changes(spark, (2, False, "a", "en", "v1", 15), (3, False, "a", "en", "v1", 5)), path, 1)
+    assert [tuple(r) for r in rollup.totals(spark, path, 2).collect()] == [("a", "en", "v1", 3, 30)]
+    rollup.commit(changes(spark, (2, False, "a", "en", "v1", 20)), path, 2)
+    for batch in (0, 1):
+        with pytest.raises(ValueError, match="build on it"):
+            rollup.commit(changes(spark, (1, False, "a", "en", "v1", 11)), path, batch)
+    assert [tuple(r) for r in rollup.totals(spark, path, 3).collect()] == [("a", "en", "v1", 3, 35)]
+    with pytest.raises(ValueError, match="not committed"):
+        rollup.commit(changes(spark), path, 4)
+    with pytest.raises(ValueError, match="not committed"):
+        rollup.totals(spark, path, 4)
+
+
 def test_pipeline_stages(spark, monkeypatch):
     """Each stage against what its operator says of the same rows, on the smallest tables."""
     from featureflow.llm import toxicity
