@@ -6,15 +6,19 @@ ten chunks of four. Two signatures that differ in at most 19 symbols differ, by
 the pigeonhole principle, in at most one symbol of some chunk; so each chunk is
 entered four times, with one symbol left out each time, and every pair within
 that distance meets in one of the 40 entries. Pairs beyond it mostly meet as
-well: a pair of the least linked similarity 0.75 shares an entry but for about
-one case in 700,000.
+well.
 
-Within an entry, pairs whose one-bit signatures are too far apart are dropped
-(five standard deviations beyond the distance at the threshold). The rest bind
-documents to candidate clusters; no pair is written for that, only a spanning
-forest per entry. Each cluster then gets its full shingle sets, and every pair
-in it is compared exactly. Entries and clusters are cut into blocks, and a task
-gets two blocks, so that no group lands in one task whatever its size.
+Within an entry, a pair is dropped only if both of its distances are too large:
+that of the 40 symbols, counted on three bits of each, which is never more than
+the true one, exceeds 19; and that of the one-bit signatures is five standard
+deviations beyond its mean at the least linked similarity. So no pair within 19
+symbols is lost, and of pairs of similarity 0.75 as a whole about one in 650,000
+is (no entry shared, or both distances too large).
+
+The rest bind documents to candidate clusters; no pair is written for that, only
+a spanning forest per entry. Each cluster then gets its full shingle sets, and
+every pair in it is compared exactly. Entries and clusters are cut into blocks,
+and a task gets two blocks, so that no group lands in one task whatever its size.
 
 Documents with equal sets are one node from the start. Nothing is capped.
 """
@@ -39,6 +43,10 @@ WORDS = 5
 LINK = 75
 #: Symbols of the signature with 16 bits, and how many of them form a chunk.
 SYMBOLS, CHUNK = 40, 4
+#: Signature distance within which no pair is lost: one symbol of each chunk, and one more in all but one.
+NEAR = 2 * (SYMBOLS // CHUNK) - 1
+#: Bits of a symbol that go with an entry.
+SKETCH = 3
 #: Symbols of one bit.
 BITS = 256
 #: Documents of a block within an entry or a cluster, and shingles of a cluster's block.
@@ -50,6 +58,10 @@ _B = (mix64(np.arange(901, 901 + BITS, dtype=np.uint64)) >> np.uint64(32)).astyp
 _LONGS = SYMBOLS // 4
 SYMBOL_COLUMNS = [f"s{i}" for i in range(_LONGS)]
 BIT_COLUMNS = [f"b{i}" for i in range(BITS // 64)]
+#: Symbols whose sketches share a long.
+_PACKED = 64 // SKETCH
+SKETCH_COLUMNS = [f"h{i}" for i in range(-(-SYMBOLS // _PACKED))]
+_LOWEST = np.uint64(sum(1 << (SKETCH * k) for k in range(_PACKED)))
 
 
 def bit_threshold() -> int:
@@ -115,24 +127,44 @@ def signatures(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, f"doc_id long, n_shingles long, set_id binary, {longs}")
 
 
+def sketches(symbols: np.ndarray) -> np.ndarray:
+    """``SKETCH`` bits of each symbol, packed into a few longs a row."""
+    out = np.zeros((len(symbols), len(SKETCH_COLUMNS)), np.uint64)
+    for k in range(SYMBOLS):
+        low = symbols[:, k].astype(np.uint64) & np.uint64((1 << SKETCH) - 1)
+        out[:, k // _PACKED] |= low << np.uint64(SKETCH * (k % _PACKED))
+    return out
+
+
+def sketch_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many symbols differ in their sketches, row by row: never more than differ in all bits."""
+    differ = a ^ b
+    folded = differ.copy()
+    for k in range(1, SKETCH):
+        folded |= differ >> np.uint64(k)
+    return np.bitwise_count(folded & _LOWEST).sum(axis=1)
+
+
 def entries(nodes: DataFrame) -> DataFrame:
     """Each node under its 40 index entries: chunk and left-out place decide, the other symbols are the key."""
+    carried = ["node", *SKETCH_COLUMNS, *BIT_COLUMNS]
 
     def run(batches):
         for batch in batches:
             packed = np.stack([batch.column(c).to_numpy() for c in SYMBOL_COLUMNS], axis=1)
             symbols = np.ascontiguousarray(packed).view(np.uint16).astype(np.uint64)
-            rest = [batch.column(c) for c in ["node", *BIT_COLUMNS]]
+            short = [as_long(np.ascontiguousarray(column)) for column in sketches(symbols).T]
+            rest = [batch.column("node"), *short, *(batch.column(c) for c in BIT_COLUMNS)]
             for chunk in range(SYMBOLS // CHUNK):
                 for left_out in range(CHUNK):
                     key = np.full(len(symbols), chunk * CHUNK + left_out, np.uint64)
                     for place in range(CHUNK):
                         if place != left_out:
                             key = mix64(key * _ODD[0] + symbols[:, chunk * CHUNK + place])
-                    yield pa.RecordBatch.from_arrays([as_long(key), *rest], names=["key", "node", *BIT_COLUMNS])
+                    yield pa.RecordBatch.from_arrays([as_long(key), *rest], names=["key", *carried])
 
-    longs = ", ".join(f"{c} long" for c in BIT_COLUMNS)
-    return nodes.select("node", *SYMBOL_COLUMNS, *BIT_COLUMNS).mapInArrow(run, f"key long, node long, {longs}")
+    longs = ", ".join(f"{c} long" for c in carried)
+    return nodes.select("node", *SYMBOL_COLUMNS, *BIT_COLUMNS).mapInArrow(run, f"key long, {longs}")
 
 
 def block_pairs(df: DataFrame, group: str, blocks: F.Column) -> DataFrame:
@@ -183,7 +215,10 @@ def candidate_links(index: DataFrame) -> DataFrame:
     def run(batches):
         for table, starts in runs(batches, ["key", "low", "high"]):
             nodes = table.column("node").to_numpy()
-            bits = np.stack([table.column(c).to_numpy() for c in BIT_COLUMNS], axis=1).view(np.uint64)
+            bits, short = (
+                np.stack([table.column(c).to_numpy() for c in columns], axis=1).view(np.uint64)
+                for columns in (BIT_COLUMNS, SKETCH_COLUMNS)
+            )
             group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
             forest = Forest(len(nodes))
             # Pairs at distance 1, 2, ... within their groups; rows whose group has ended leave.
@@ -194,6 +229,7 @@ def candidate_links(index: DataFrame) -> DataFrame:
                 new = forest.root[a] != forest.root[b]
                 a, b = a[new], b[new]
                 near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= far
+                near[~near] = sketch_distance(short[a[~near]], short[b[~near]]) <= NEAR
                 forest.join(a[near], b[near])
                 step += 1
                 left = left[left + step < len(group)]

@@ -146,3 +146,42 @@ def test_runs_are_whole_groups():
             assert len(set(group["k"].to_pylist())) == 1
             got.append(group["k"][0].as_py())
     assert got == list(range(50))
+
+
+def test_no_pair_within_the_signature_distance_is_lost(spark):
+    """Signatures 15 to 21 symbols away from a base, their one-bit symbols drawn anew: all pairs within 19 are linked."""
+    from featureflow.llm import neardup
+
+    draw = np.random.default_rng(11)
+    symbols, bits = [], []
+    for _ in range(60):
+        base = draw.integers(0, 1 << 16, neardup.SYMBOLS, dtype=np.uint16)
+        for far in (0, *range(15, 22)):
+            moved = base.copy()
+            at = draw.choice(neardup.SYMBOLS, far, replace=False)
+            moved[at] ^= draw.integers(1, 1 << 16, far, dtype=np.uint16)
+            symbols.append(moved)
+            bits.append(draw.integers(0, 1 << 63, len(neardup.BIT_COLUMNS), dtype=np.int64))
+    symbols, bits = np.array(symbols), np.array(bits)
+    longs = np.hstack([symbols.view(np.int64), bits]).tolist()
+    schema = ", ".join(f"{c} long" for c in ["node", *neardup.SYMBOL_COLUMNS, *neardup.BIT_COLUMNS])
+    nodes = spark.createDataFrame([(i, *row) for i, row in enumerate(longs)], schema)
+    links = neardup.candidate_links(neardup.entries(nodes.repartition(5)))
+    group = {r.node: r.component for r in components(links).collect()}
+    distance = (symbols[:, None] != symbols[None]).sum(axis=2)
+    first, second = np.nonzero(np.triu(distance <= neardup.NEAR, 1))
+    assert len(first) >= 60 * 5
+    assert np.bitwise_count(bits[first] ^ bits[second]).sum(axis=1).min() > neardup.bit_threshold()
+    assert all(group.get(a, a) == group.get(b, b) for a, b in zip(first.tolist(), second.tolist(), strict=True))
+
+
+def test_the_sketch_distance_is_never_above_the_true_one():
+    from featureflow.llm import neardup
+
+    draw = np.random.default_rng(12)
+    a = draw.integers(0, 1 << 16, (500, neardup.SYMBOLS), dtype=np.uint16)
+    b = np.where(draw.random(a.shape) < 0.5, a, draw.integers(0, 1 << 16, a.shape, dtype=np.uint16))
+    low = (1 << neardup.SKETCH) - 1
+    got = neardup.sketch_distance(neardup.sketches(a), neardup.sketches(b))
+    assert (got == ((a & low) != (b & low)).sum(axis=1)).all()
+    assert (got <= (a != b).sum(axis=1)).all()
