@@ -34,28 +34,29 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class TileSearch:
     """The best candidates of some queries so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: int):
-        self.ids, self.vectors, self.top = ids, vectors, top
+    def __init__(self, rows: np.ndarray, vectors: np.ndarray, top: int):
+        self.rows, self.vectors, self.top = rows, vectors, top
         self.small, self.scale = quantise(vectors)
         self.weight = np.abs(vectors).sum(axis=1)
         # Products of eight-bit numbers are exact in single precision up to this dimension, else in double.
         self.kind = np.float32 if vectors.shape[1] * 127 * 127 < 1 << 24 else np.float64
         self.tile_side = self.small.astype(self.kind)
-        self.heaps = Heaps(ids, top, np.float64)
+        self.heaps = Heaps(len(rows), top, np.float64)
 
-    def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def read(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         small, scale = quantise(vectors)
         weight = np.abs(small.astype(np.int64)).sum(axis=1) * scale
         for k in range(0, len(ids), TILE):
             part = slice(k, k + TILE)
-            self._tile(ids[part], vectors[part], small[part], scale[part], weight[part])
+            self._tile(self.rows[:, None] == rows[part], ids[part], vectors[part], small[part], scale[part], weight[part])
 
-    def _tile(self, ids: np.ndarray, vectors: np.ndarray, small: np.ndarray, scale: np.ndarray, weight: np.ndarray) -> None:
+    def _tile(
+        self, own: np.ndarray, ids: np.ndarray, vectors: np.ndarray, small: np.ndarray, scale: np.ndarray, weight: np.ndarray
+    ) -> None:
         product = (self.tile_side @ small.T.astype(self.kind)).astype(np.float64) * np.outer(self.scale, scale)
         # q.c - q'.c' = q.(c - c') + (q - q').c', with components off by half a scale at most.
         slack = 0.5 * (np.outer(self.weight, scale) + np.outer(self.scale, weight))
         slack += 1e-12 * np.outer(self.weight, weight + scale)  # rounding of these sums themselves
-        own = self.ids[:, None] == ids
         low = np.where(own, -np.inf, product - slack)
         if len(ids) > self.top:
             bar = np.maximum(self.heaps.bar, np.partition(low, -self.top, axis=1)[:, -self.top])
@@ -70,10 +71,11 @@ def nearest_neighbours(table: DataFrame, every: int = 20, top: int = 20) -> Data
 
     ``table`` needs ``vec_id`` and ``embedding``; other columns are ignored. Result:
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; best first, ties to the
-    smaller id. A query is no candidate of its own; with fewer candidates than
+    smaller id. A row is no candidate of its own; with fewer candidates than
     ``top`` all are returned. Vectors that are null, empty, zero or hold a null or
-    non-finite component take no part, nor do rows without an id; of several
-    vectors under one id the least stands for it. Only vectors of equal length
-    are compared. An empty table gives an empty table.
+    non-finite component take no part, nor do rows without an id. Rows under one
+    id, equal or not, are all candidates, also of each other, and each is a query
+    with ranks of its own. Only vectors of equal length are compared. An empty
+    table gives an empty table.
     """
     return search(table, zero=False, every=every, top=top, kind="double", method=TileSearch)

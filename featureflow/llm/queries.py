@@ -193,34 +193,32 @@ SQL: dict[str, str] = {
         FROM d GROUP BY source, lang, version
     """,
     "op5_nearest": """
-        WITH v AS (
-            SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS v FROM embeddings
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
               AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-            GROUP BY vec_id
         ),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]), lambda a, b: a + b) AS score
-            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]), lambda a, b: a + b) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
         )
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
-        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+        WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
     """,
     "op6_top_scores": """
-        WITH v AS (
-            SELECT vec_id, list_transform(min(CAST(embedding AS DOUBLE[])), lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM embeddings
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-            GROUP BY vec_id
         ),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.r, q.vec_id AS query_id, c.vec_id,
                    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
-            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
         )
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
-        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+        WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
     """,
     "op12_variants": r"""
         WITH RECURSIVE r AS (

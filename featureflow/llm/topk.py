@@ -51,35 +51,35 @@ class SortedLists:
 class ListSearch:
     """The best candidates of some queries so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: int):
-        self.ids, self.top = ids, top
+    def __init__(self, rows: np.ndarray, vectors: np.ndarray, top: int):
+        self.rows, self.top = rows, top
         self.queries = np.floor(64 * vectors)
-        self.heaps = Heaps(ids, top, np.int64)
+        self.heaps = Heaps(len(rows), top, np.int64)
 
-    def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def read(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         values = np.floor(64 * vectors)
         most = np.abs(values).max(initial=0) * np.abs(self.queries).max(initial=0) * values.shape[1]
         # Whole numbers are exact in single precision below 2**24, in double below 2**53.
         kind = np.float32 if most < 1 << 22 else np.float64
         lists = SortedLists(values.astype(kind))
-        for k in range(0, len(self.ids), QUERIES):
-            part = np.arange(k, min(k + QUERIES, len(self.ids)))
+        for k in range(0, len(self.rows), QUERIES):
+            part = np.arange(k, min(k + QUERIES, len(self.rows)))
+            own = self.rows[part][:, None] == rows
             if most < 1 << 51:
-                query, at = self._open(self.queries[part].astype(kind), part, ids, lists)
+                query, at = self._open(self.queries[part].astype(kind), part, own, lists)
             else:
-                query, at = np.nonzero(self.ids[part][:, None] != ids)
+                query, at = np.nonzero(~own)
             self._resolve(part[query], ids[at], values[at], exact=most < 1 << 51)
 
-    def _open(self, q: np.ndarray, part: np.ndarray, ids: np.ndarray, lists: SortedLists) -> tuple[np.ndarray, np.ndarray]:
+    def _open(self, q: np.ndarray, part: np.ndarray, own: np.ndarray, lists: SortedLists) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of query and candidate that can be among the best, by the bounds of as many bands as it takes."""
-        size = len(ids)
+        size = own.shape[1]
         plus, minus = np.maximum(q, 0), np.minimum(q, 0)
         seen = np.zeros((len(q), size), q.dtype)
         # What all unread components can add at least and at most.
         least = plus @ lists.sorted[-1] + minus @ lists.sorted[0]
         low_rest = np.repeat(least[:, None], size, axis=1)
         down_seen, up_seen = np.zeros(lists.rank.shape, bool), np.zeros(lists.rank.shape, bool)
-        own = self.ids[part][:, None] == ids
         bar = self.heaps.bar[part].astype(q.dtype)
         begin = 0
         for share in BANDS:
@@ -123,11 +123,12 @@ def top_scores(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     Each component x counts as floor(64 * x), a score is the inner product. ``table``
     needs ``vec_id`` and ``embedding``; other columns are ignored. Result:
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; best first, ties to the
-    smaller id. A query is no candidate of its own; with fewer candidates than
+    smaller id. A row is no candidate of its own; with fewer candidates than
     ``top`` all are returned. Vectors of zeros take part; vectors that are null,
     empty or hold a null or non-finite component, and rows without an id, do not.
-    Of several vectors under one id the least stands for it. Only vectors of
-    equal length are compared. Scores beyond the range of a long become its ends.
+    Rows under one id, equal or not, are all candidates, also of each other, and
+    each is a query with ranks of its own. Only vectors of equal length are
+    compared. Scores beyond the range of a long become its ends.
     An empty table gives an empty table.
     """
     return search(table, zero=True, every=every, top=top, kind="long", method=ListSearch).withColumn(

@@ -31,25 +31,24 @@ def table(spark, rows):
 
 
 def brute_force(rows, change, zero):
-    best = {}
+    """Answers of every query row, all rows but itself being candidates, in the order of their text."""
+    vecs = []
     for i, v in rows:
-        usable = v and i is not None and all(x is not None and np.isfinite(x) for x in v) and (zero or any(v))
-        if usable:
-            v = [float(np.float32(x)) for x in v]
-            best[i] = min(best.get(i, v), v)
-    vecs = {i: [change(x) for x in v] for i, v in best.items()}
-    out = {}
-    for q, a in vecs.items():
+        if v and i is not None and all(x is not None and np.isfinite(x) for x in v) and (zero or any(v)):
+            vecs.append((i, [change(float(np.float32(x))) for x in v]))
+    out = []
+    for k, (q, a) in enumerate(vecs):
         if q % 20 == 0:
-            scored = [(-reduce(add, map(mul, a, b)), i) for i, b in vecs.items() if i != q and len(a) == len(b)]
-            out[q] = [(i, -s) for s, i in sorted(scored)[:20]]
-    return {q: found for q, found in out.items() if found}
+            scored = [(-reduce(add, map(mul, a, b)), i) for c, (i, b) in enumerate(vecs) if c != k and len(a) == len(b)]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:20], 1)]
+    return sorted(out)
 
 
-@pytest.fixture(params=[4096, 7])
+@pytest.fixture(params=[(4096, 4096), (7, 8)])
 def rows(request, monkeypatch):
-    """Random vectors, some equal, some under one id; also with waves of seven queries."""
-    monkeypatch.setattr(vectors, "WAVE", request.param)
+    """Random vectors, some equal, some under one id; also with more than 50 blocks of candidates."""
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", request.param[0])
+    monkeypatch.setattr(vectors, "BLOCK", request.param[1])
     draw = np.random.default_rng(5)
     some = draw.normal(0, 0.3, (400, 8)).astype(np.float32)
     some[50:60] = some[40]
@@ -62,10 +61,8 @@ def rows(request, monkeypatch):
     ("search", "change", "zero"), [(nearest_neighbours, float, False), (top_scores, lambda x: int(np.floor(64 * x)), True)]
 )
 def test_search_matches_brute_force(spark, rows, search, change, zero):
-    got = {}
-    for r in search(table(spark, rows).repartition(3)).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-        assert r.rank == len(got[r.query_id])
+    found = search(table(spark, rows).repartition(3)).collect()
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found)
     assert got == brute_force(rows, change, zero)
 
 
@@ -81,3 +78,26 @@ def test_huge_components_are_exact(spark):
     got = top_scores(table(spark, rows)).where("query_id = 20").orderBy("rank").collect()
     ends = (1 << 63) - 1
     assert [(r.vec_id, r.score) for r in got] == [(0, ends), (1, ends), (2, 64 * 64 + 64 * 128), (3, -ends)]
+
+
+@pytest.mark.parametrize("search", [nearest_neighbours, top_scores])
+def test_rows_of_one_id_are_all_candidates(spark, search):
+    rows = [(1, [1.0, 0.5]), (1, [0.25, 0.125]), (1, [0.25, 0.125]), (20, [1.0, 1.0])]
+    got = search(table(spark, rows)).orderBy("rank").collect()
+    unit = 1 if search is nearest_neighbours else 64 * 64
+    assert [(r.query_id, r.vec_id, r.score) for r in got] == [(20, 1, 1.5 * unit), (20, 1, 0.375 * unit), (20, 1, 0.375 * unit)]
+
+
+@pytest.mark.parametrize(("name", "search"), [("op5_nearest", nearest_neighbours), ("op6_top_scores", top_scores)])
+def test_sql_over_repeated_ids(spark, rows, name, search):
+    import duckdb
+    import pyarrow as pa
+
+    from featureflow.llm.queries import SQL
+
+    ids, found = zip(*rows, strict=True)
+    connection = duckdb.connect()
+    connection.register("embeddings", pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(found, pa.list_(pa.float32()))}))
+    want = sorted(connection.execute(SQL[name]).fetchall())
+    got = search(table(spark, rows)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == want
