@@ -10,8 +10,9 @@ that fail continue the member before them. A member that goes on into the
 next range, behind such a false begin, is put together from the pieces of both
 in a second, small step by file.
 
-Hadoop decompresses files named ``.gz`` before any reader sees them; such archives
-must be stored under another suffix (``.warc``) to be read here.
+Files named ``.gz`` are handed over undecoded as well, by Hadoop's pass-through
+codec. Hadoop does not split what has a codec, so such a file is one range, which is
+streamed member by member; stored as ``.warc`` the same bytes are read in ranges.
 """
 
 from __future__ import annotations
@@ -205,6 +206,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     lines = (
         spark.read.option("lineSep", MAGIC.decode("latin-1"))
         .option("encoding", "ISO-8859-1")
+        # Files named .gz are handed over as they are. The shaded Hadoop client knows the setting by the second name.
+        .option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+        .option("io.compress.passthrough.extension", ".gz")
+        .option("org.apache.hadoop.shaded.io.compress.passthrough.extension", ".gz")
         .text(path)
     )
     pieces = lines.select(

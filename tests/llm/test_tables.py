@@ -59,6 +59,19 @@ def test_archives_are_read_whole_from_small_ranges(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_archives_are_read_under_both_suffixes(spark, tmp_path):
+    draw = random.Random(4)
+    bodies = {f"urn:{k}": draw.randbytes(draw.randrange(6000)) for k in range(200)}
+    data = b"".join(member(i, "u", body, hashlib.sha1(body).hexdigest(), None) for i, body in bodies.items())
+    want = sorted((i, body, True) for i, body in bodies.items())
+    for name in ("a.warc", "a.warc.gz"):
+        folder = tmp_path / name.replace(".", "-")
+        folder.mkdir()
+        (folder / name).write_bytes(data)
+        got = sorted((r.record_id, bytes(r.payload), r.valid) for r in read_archives(spark, str(folder)).collect())
+        assert got == want, name
+
+
 def test_damaged_members_are_left_out():
     good = [member(f"urn:{k}", None, os.urandom(300), "00" * 20, None) for k in range(3)]
     for data in (good[0] + good[1][:200] + good[2], good[0] + b"rubbish" + zlib.compress(b"x") + good[2]):
