@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.columns import columns_of_type
 from ..sources.dimensions import dim_table
 from .quantiles import ACCURACY, exact_quantiles
-from .stacking import SLOT, VALUE, per_slot, stack_columns
+from .stacking import SLOT, VALUE, common_kind, per_slot, stack_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 QUARTILE_NAMES = ("p25", "p50", "p75")
 SUMMARY_SCHEMA = (
-    "column_name string, count bigint, mean double, stddev double, min double, "
-    "p25 double, p50 double, p75 double, max double"
+    "column_name string, count bigint, mean double, stddev double, min {0}, p25 {0}, p50 {0}, p75 {0}, max {0}"
 )
 
 
@@ -35,12 +34,19 @@ def numeric_summary(
     """Per column: count, mean, stddev, min, quartiles and max.
 
     Quartiles are approximate by default, as in ``DataFrame.summary``, from the
-    same single scan; ``exact=True`` takes a few more scans.
+    same single scan; ``exact=True`` takes a few more scans. Exact values are of
+    the type that holds all columns: integers, or decimals, summarised by themselves
+    keep every digit, next to doubles they are doubles.
     """
     columns = list(columns or columns_of_type(df, ("int", "bigint", "float", "double")))
+    kind = common_kind(df, columns) if exact else "double"
+    mean = F.mean(VALUE)
+    if kind != "double":  # a sum of doubles would lose digits of large numbers
+        number = F.col(VALUE).cast("decimal(20,0)") if kind == "bigint" else F.col(VALUE)
+        mean = F.try_sum(number).cast("double") / F.count(VALUE)
     statistics = [
         F.count(VALUE).alias("count"),
-        F.mean(VALUE).alias("mean"),
+        mean.alias("mean"),
         F.stddev(VALUE).alias("stddev"),
         F.min(VALUE).alias("min"),
         F.max(VALUE).alias("max"),
@@ -53,7 +59,7 @@ def numeric_summary(
                 (name, r["count"], r["mean"], r["stddev"], r["min"], *quartiles[name], r["max"])
                 for name, r in rows.items()
             ],
-            SUMMARY_SCHEMA,
+            SUMMARY_SCHEMA.format(kind),
         )
     cuts = F.percentile_approx(VALUE, list(QUARTILES), ACCURACY).alias("cuts")
     summary = stack_columns(df, columns).groupBy(SLOT).agg(*statistics, cuts)

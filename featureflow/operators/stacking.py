@@ -13,12 +13,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLOT, VALUE = "_slot", "_value"
-
-
-def stack_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    values = F.array(*[F.col(name).cast("double") for name in columns])
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def common_kind(df: DataFrame, columns: Sequence[str]) -> str:
+    """The type that holds every value of the columns exactly: bigint, a decimal, or else double.
+
+    Integral columns next to decimals are decimals if 38 digits suffice.
+    """
+    types = [df.schema[name].dataType for name in columns]
+    if types and all(isinstance(t, INTEGRAL) for t in types):
+        return "bigint"
+    if types and all(isinstance(t, (*INTEGRAL, T.DecimalType)) for t in types):
+        sizes = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (19, 0) for t in types]
+        scale = max(scale for _, scale in sizes)
+        precision = max(precision - digits for precision, digits in sizes) + scale
+        if precision <= 38:
+            return f"decimal({precision},{scale})"
+    return "double"
+
+
+def stack_columns(
+    df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), kind: str = "double"
+) -> DataFrame:
+    values = F.array(*[F.col(name).cast(kind) for name in columns])
     return df.select(*keep, F.posexplode(values).alias(SLOT, VALUE))
 
 

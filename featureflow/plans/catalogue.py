@@ -496,6 +496,56 @@ def numeric_summary(spark, folder):
     return rounded(profile.numeric_summary(lines, SUMMARY_COLUMNS, exact=True), 6, "mean", "stddev")
 
 
+LARGE_KEYS_SQL = """
+    WITH keys AS (
+        SELECT 9007199254740993 + 2 * o_orderkey AS order_number, 4611686018427387 * (o_custkey % 2000) AS customer_number,
+               -9223372036854775807 + o_orderkey AS least_number
+        FROM orders)"""
+LARGE_KEYS = ("order_number", "customer_number", "least_number")
+
+
+@query(
+    "AGG3",
+    LARGE_KEYS_SQL
+    + " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS column_name, count({c}) AS count, min({c}) AS min, quantile_disc({c}, 0.25) AS p25,
+               quantile_disc({c}, 0.5) AS p50, quantile_disc({c}, 0.75) AS p75, max({c}) AS max
+        FROM keys"""
+        for c in LARGE_KEYS
+    ),
+)
+def integer_summary(spark, folder):
+    """Integers beyond the 53 bits of a double keep every digit."""
+    key, customer = F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint")
+    keys = read_table(spark, folder, "orders").select(
+        (F.lit(9007199254740993) + 2 * key).alias("order_number"),
+        (F.lit(4611686018427387) * (customer % 2000)).alias("customer_number"),
+        (F.lit(-9223372036854775807) + key).alias("least_number"),
+    )
+    return profile.numeric_summary(keys, LARGE_KEYS, exact=True).drop("mean", "stddev")
+
+
+PRICES_SQL = "WITH prices AS (SELECT o_totalprice::DECIMAL(12,2)::DECIMAL(28,2) * 1000000000::DECIMAL(10,0) AS price FROM orders)"
+
+
+@query(
+    "AGG3",
+    f"""{PRICES_SQL}
+        SELECT 'price' AS column_name, count(price) AS count, min(price)::DECIMAL(30,2)::VARCHAR AS min,
+               quantile_disc(price, 0.25)::DECIMAL(30,2)::VARCHAR AS p25,
+               quantile_disc(price, 0.5)::DECIMAL(30,2)::VARCHAR AS p50,
+               quantile_disc(price, 0.75)::DECIMAL(30,2)::VARCHAR AS p75, max(price)::DECIMAL(30,2)::VARCHAR AS max
+        FROM prices""",
+)
+def decimal_summary(spark, folder):
+    """Decimals are compared and returned as decimals."""
+    price = F.col("o_totalprice").cast("decimal(12,2)") * F.lit(10**9).cast("decimal(12,0)")
+    prices = read_table(spark, folder, "orders").select(price.cast("decimal(30,2)").alias("price"))
+    summary = profile.numeric_summary(prices, ["price"], exact=True).drop("mean", "stddev")
+    return summary.select("column_name", "count", *[F.col(c).cast("string") for c in ("min", "p25", "p50", "p75", "max")])
+
+
 @query("AGG3")
 def numeric_summary_approx(spark, folder):
     return profile.numeric_summary(read_table(spark, folder, "lineitem"), SUMMARY_COLUMNS)

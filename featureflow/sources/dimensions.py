@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -14,6 +15,6 @@ def dim_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFr
     Goes through Arrow, which gives Catalyst a local relation of known size
     rather than an RDD scan of unknown size.
     """
-    names = [field.split()[0] for field in schema.split(",")]
+    names = [field.split()[0] for field in re.split(r",(?![^(<]*[)>])", schema)]
     columns = [[row[i] for row in rows] for i in range(len(names))]
     return spark.createDataFrame(pa.table(dict(zip(names, columns, strict=True))), schema)

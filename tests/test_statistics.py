@@ -1,4 +1,6 @@
 import math
+import random
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -61,6 +63,54 @@ def test_a_wrong_first_bracket_is_repaired(spark, monkeypatch):
     assert got["v"] == [0.0, 1.0, 3.0]
 
 
+@pytest.mark.parametrize("gather_limit", [100_000, 0])
+def test_quantiles_of_large_integers_and_decimals_keep_every_digit(spark, monkeypatch, gather_limit):
+    """Neighbours within one double, extremes of the type, and copies: the sketch alone cannot part them."""
+    monkeypatch.setattr(quantiles, "GATHER_LIMIT", gather_limit)
+    draw = random.Random(3)
+    data = [
+        (2**62 + draw.randrange(300), draw.choice((-(2**63), 2**63 - 1, 2**53 + 1)), Decimal(draw.randrange(10**6)).scaleb(-9) + 10**15)
+        for _ in range(800)
+    ]
+    df = spark.createDataFrame(data, "near bigint, ends bigint, exact decimal(30,9)").repartition(3)
+    probabilities = [0.0, 0.01, 0.4, 0.5, 0.99, 1.0]
+    got, _ = quantiles.exact_quantiles(df, ["near", "ends"], probabilities)
+    for i, name in enumerate(["near", "ends"]):
+        assert got[name] == [exact([row[i] for row in data], p) for p in probabilities]
+    got, _ = quantiles.exact_quantiles(df, ["exact"], probabilities)
+    assert got["exact"] == [exact([row[2] for row in data], p) for p in probabilities]
+
+
+def test_the_type_of_a_summary_holds_all_its_columns(spark):
+    row = (2**53 + 1, Decimal("0.05"), Decimal(10) ** 30, 1.5)
+    df = spark.createDataFrame([row], "n bigint, small decimal(5,2), large decimal(38,0), x double")
+    wanted = {"n": "bigint", "n small": "decimal(21,2)", "small large": "double", "n x": "double"}
+    for names, kind in wanted.items():
+        summary = profile.numeric_summary(df, names.split(), exact=True)
+        assert dict(summary.dtypes)["p50"] == kind, names
+    only = profile.numeric_summary(df, ["n"], exact=True).first()
+    assert (only["min"], only["p50"], only["max"]) == (2**53 + 1,) * 3
+    assert only["mean"] == float(2**53 + 1)
+
+
+def test_one_value_per_quantile_reaches_the_driver(spark, monkeypatch):
+    """However many rows a task gathers."""
+    seen = []
+    narrow = quantiles._Quantiles.narrow
+
+    def watched(self, brackets):
+        collect = type(self.stacked).collect
+        monkeypatch.setattr(type(self.stacked), "collect", lambda df: seen.append(collect(df)) or seen[-1])
+        narrow(self, brackets)
+        monkeypatch.setattr(type(self.stacked), "collect", collect)
+
+    monkeypatch.setattr(quantiles._Quantiles, "narrow", watched)
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v"))
+    quantiles.exact_quantiles(df, ["v"], [0.5])
+    values = [value for rows in seen for row in rows for value in row]
+    assert len(values) == 2 and not any(isinstance(value, list) for value in values)
+
+
 def test_summary_exact_and_approximate(spark):
     pdf = random_columns(2000)[["normal", "two"]]
     df = spark.createDataFrame(pdf)
