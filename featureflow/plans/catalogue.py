@@ -52,6 +52,7 @@ from ..sinks import (
 from ..sources import dim_table, load_model, read_csv, read_libsvm, read_table, read_table_stream
 from ..sources.streams import text_values
 from ..streaming import SendOnce, read_once, score_batches, score_keys, score_labels, send_batches, set_broken_aside
+from .forest import importances, node_table, predicted, walk
 from .held import held
 from .scoring import score, write_positive_ids
 from .training import (
@@ -61,6 +62,7 @@ from .training import (
     forest_table,
     importance_table,
     logistic_regression,
+    random_forest,
 )
 from .tuning import best_parameters, logistic_grid, tune, tuning_report
 
@@ -1170,6 +1172,81 @@ def rf_importance(spark, folder):
     return importance_table(spark, fit_forest(embedding_vectors(spark, folder)).stages[2])
 
 
+@query("MDL2 MDL6 MDL8", "SELECT count(*) AS rows, 0::BIGINT AS other_votes, 0::BIGINT AS other_classes FROM embeddings")
+def rf_walk(spark, folder):
+    """Votes and classes by joins of rows with the node table, against the model's own."""
+    table = embedding_vectors(spark, folder)
+    fitted = fit_forest(table)
+    model = fitted.stages[2]
+    scored = score(fitted, table, ["vec_id", "indexedFeatures", "rawPrediction", "prediction"])
+    votes = walk(node_table(spark, model), scored, ["vec_id"], model, "indexedFeatures")
+    both = scored.select("vec_id", vector_to_array("rawPrediction").alias("raw"), "prediction").join(votes, "vec_id")
+    apart = F.exists(F.zip_with("raw", "votes", lambda a, b: F.abs(a - b) > 1e-9), lambda far: far)
+    # On a tie the order of the sum decides in the model.
+    clear = F.abs(F.get("raw", predicted().cast("int")) - F.array_max("raw")) > 1e-9
+    return both.agg(
+        F.count("*").alias("rows"), F.count_if(apart).alias("other_votes"), F.count_if(clear).alias("other_classes")
+    )
+
+
+def known_tree_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Two yes or no features and a label; the tree that parts them best is a matter of counting."""
+    lines = read_table(spark, folder, "lineitem").select(
+        (F.col("l_quantity") > 25).cast("double").alias("large"),
+        (F.col("l_linenumber") > 1).cast("double").alias("later"),
+    )
+    target = F.when(F.col("large") == 1, F.col("later")).otherwise(0.0).alias("target")
+    return encoding.assemble(["large", "later"], "features").transform(lines.select("*", target))
+
+
+def known_forest(spark: SparkSession, folder: str):
+    forest = random_forest("features", "target", trees=1, bootstrap=False, maxDepth=2)
+    return forest.fit(known_tree_table(spark, folder))
+
+
+# The label is 1 where both features are: the better first cut is counted, the second one is pure.
+KNOWN_TREE_SQL = """
+    WITH t AS (SELECT (l_quantity > 25)::INTEGER AS large, (l_linenumber > 1)::INTEGER AS later FROM lineitem),
+    n AS (SELECT count(*)::DOUBLE AS rows, sum(large)::DOUBLE AS large, sum(later)::DOUBLE AS later,
+                 sum(large * later)::DOUBLE AS ones FROM t),
+    cuts AS (
+        SELECT slot, rows, ones, yes, ones / yes AS share, 2 * (ones / rows) * (1 - ones / rows) AS whole,
+               2 * (ones / yes) * (1 - ones / yes) AS part
+        FROM (SELECT 0 AS slot, rows, ones, large AS yes FROM n UNION ALL SELECT 1, rows, ones, later FROM n)),
+    gains AS (SELECT *, whole - yes / rows * part AS gain FROM cuts),
+    first AS (SELECT * FROM gains ORDER BY gain DESC, slot LIMIT 1)"""
+
+
+@query(
+    "MDL2 MDL6",
+    f"""{KNOWN_TREE_SQL}
+        SELECT 0 AS node, slot, 0.5 AS threshold, 1 AS left, 2 AS right, (ones > rows - ones)::INTEGER::DOUBLE AS prediction,
+               round(whole, 6) AS impurity, round(gain, 6) AS gain, rows - ones AS zeros, ones FROM first
+        UNION ALL SELECT 1, NULL, NULL, NULL, NULL, 0, 0, NULL, rows - yes, 0 FROM first
+        UNION ALL SELECT 2, 1 - slot, 0.5, 3, 4, (ones > yes - ones)::INTEGER::DOUBLE, round(part, 6), round(part, 6),
+                         yes - ones, ones FROM first
+        UNION ALL SELECT 3, NULL, NULL, NULL, NULL, 0, 0, NULL, yes - ones, 0 FROM first
+        UNION ALL SELECT 4, NULL, NULL, NULL, NULL, 1, 0, NULL, 0, ones FROM first""",
+)
+def tree_nodes(spark, folder):
+    """Node table of a tree whose cuts, impurities, gains and counts are known."""
+    nodes = node_table(spark, known_forest(spark, folder))
+    zeros, ones = (F.get("stats", F.lit(i)).alias(name) for i, name in enumerate(("zeros", "ones")))
+    kept = nodes.select("node", "slot", "threshold", "left", "right", "prediction", "impurity", "gain", zeros, ones)
+    return rounded(kept, 6, "impurity", "gain")
+
+
+@query(
+    "MDL6",
+    f"""{KNOWN_TREE_SQL}
+        SELECT slot, round(gain / (gain + yes / rows * part), 6) AS importance FROM first
+        UNION ALL SELECT 1 - slot, round(yes / rows * part / (gain + yes / rows * part), 6) FROM first""",
+)
+def tree_importance(spark, folder):
+    """Importances from the node table of the known tree."""
+    return rounded(importances(node_table(spark, known_forest(spark, folder))), 6, "importance")
+
+
 @query("AGG10 MDL2")
 def rf_accuracy(spark, folder):
     table = embedding_vectors(spark, folder)
