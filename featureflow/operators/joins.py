@@ -34,8 +34,8 @@ def _whole(number: Column, kind: T.DataType) -> Column:
     return F.when(number == F.floor(number), number.try_cast(kind))
 
 
-def join_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
-    """Rows of ``df`` with their dimension row; rows without one drop.
+def join_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str, how: str = "inner") -> DataFrame:
+    """Rows of ``df`` with their dimension row; rows without one drop, or are kept by ``how="left"``.
 
     Keys are compared as the dimension's type by an explicit lenient cast, as
     a label index printed as text (``"0.0"``) does not cast to an integer. No
@@ -45,4 +45,4 @@ def join_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> Dat
     hot keys.
     """
     value = as_key(F.col(key), df.schema[key].dataType, dim.schema[dim_key].dataType)
-    return df.join(dim, value == dim[dim_key], "inner")
+    return df.join(dim, value == dim[dim_key], how)

@@ -41,6 +41,7 @@ from ..operators.selection import (
 from ..schemas import record
 from ..session import work_path
 from ..sinks import (
+    ModelVersions,
     save_model,
     start_batches,
     start_stream,
@@ -51,7 +52,7 @@ from ..sinks import (
 )
 from ..sources import dim_table, load_model, read_csv, read_libsvm, read_table, read_table_stream
 from ..sources.streams import text_values
-from ..streaming import SendOnce, read_once, score_batches, score_keys, score_labels, send_batches, set_broken_aside
+from ..streaming import SendOnce, read_once, score_batches, score_keys, score_labels, score_sound_labels, send_batches, set_broken_aside
 from .forest import importances, node_table, predicted, walk
 from .held import held
 from .scoring import score, write_positive_ids
@@ -1307,6 +1308,26 @@ def learned_ids(spark, folder):
     return read_csv(spark, path, "doc_id bigint", header=False)
 
 
+@query(
+    "SNK7 SRC9 MDL6",
+    f"""{ODDS_SQL},
+        w AS (SELECT 1 AS version, 1 AS sign UNION ALL SELECT 2, -1)
+        SELECT version, -1 AS slot, round(sign * ln(fn / tn), 3) + 0.0 AS coefficient FROM c, w
+        UNION ALL SELECT version, 0, round(sign * ln((tp * tn) / (fp * fn)), 3) + 0.0 FROM c, w""",
+)
+def model_versions(spark, folder):
+    """Two published versions, the second with labels exchanged, loaded by number: both answers are known."""
+    versions = ModelVersions(spark, work_path(spark, "versions"))
+    table = odds_table(spark, folder)
+    for labelled in (table, table.withColumn("target", 1 - F.col("target"))):
+        versions.publish(PipelineModel(stages=[logistic_regression(**ODDS).fit(labelled)]))
+    tables = [
+        coefficient_table(spark, versions.load(number).stages[-1]).select(F.lit(number).alias("version"), "*")
+        for number in versions.numbers()
+    ]
+    return rounded(tables[0].unionByName(tables[1]), 3, "coefficient")
+
+
 def label_stream(spark: SparkSession, folder: str) -> DataFrame:
     labels = read_table_stream(spark, folder, "labels")
     return labels.select(join_fields("doc_id", "toxic").alias("value"))
@@ -1501,3 +1522,35 @@ def stream_labels(spark, folder):
         F.sum(F.greatest(F.col("batch") - F.col("stream"), F.lit(0))).alias("only_batch"),
         F.sum(F.greatest(F.col("stream") - F.col("batch"), F.lit(0))).alias("only_stream"),
     )
+
+
+SOUND_SCHEMA = record("large double, later double")
+
+
+@query(
+    "STR2 JOI2 SCL6 MDL2",
+    """WITH t AS (SELECT l_orderkey % 10 AS turn, (l_quantity > 25)::INTEGER AS large,
+                         (l_linenumber > 1)::INTEGER AS later FROM lineitem),
+       o AS (SELECT CASE turn WHEN 3 THEN large::VARCHAR WHEN 5 THEN large || ',n/a'
+                    ELSE large || '.0,' || later || '.0,' || CASE WHEN large * later = 1 THEN '1.0,both' ELSE '0.0,not both' END
+                    END AS value,
+                    CASE turn WHEN 3 THEN 'expected 2 fields, found 1' WHEN 5 THEN 'later is not double' END AS problem
+             FROM t)
+       SELECT value, problem, count(*) AS rows FROM o GROUP BY ALL""",
+)
+def stream_sound_labels(spark, folder):
+    """A continuous stream with broken lines through a learned tree whose answers are known, in one append."""
+    model = fit_forest(known_tree_table(spark, folder), "target", trees=1, bootstrap=False)
+    names = dim_table(spark, [(0, "not both"), (1, "both")], "class_id int, class_name string")
+    large, later = ((F.col(c) > n).cast("int") for c, n in (("l_quantity", 25), ("l_linenumber", 1)))
+    turn = F.col("l_orderkey") % 10
+    line = (
+        F.when(turn == 3, large.cast("string"))
+        .when(turn == 5, F.concat_ws(",", large, F.lit("n/a")))
+        .otherwise(F.concat_ws(",", large, later))
+    )
+    lines = read_table_stream(spark, folder, "lineitem").select(line.alias("value"))
+    scored = score_sound_labels(lines, model, SOUND_SCHEMA, names, "class_id", "class_name")
+    out, checkpoint = work_path(spark, "sound"), work_path(spark, "progress")
+    wait(start_stream(scored, checkpoint, "parquet", {"path": out}, every=None))
+    return spark.read.parquet(out).groupBy("value", "problem").agg(F.count("*").alias("rows"))

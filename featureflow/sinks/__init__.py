@@ -4,8 +4,11 @@ from .files import write_csv, write_libsvm
 from .kafka import kafka_sink_options, write_messages
 from .models import save_model
 from .streams import start_batches, start_stream, wait
+from .versions import LatestModel, ModelVersions
 
 __all__ = [
+    "LatestModel",
+    "ModelVersions",
     "kafka_sink_options",
     "save_model",
     "start_batches",

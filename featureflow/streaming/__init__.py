@@ -7,6 +7,7 @@ from .scoring import (
     score_batches,
     score_keys,
     score_labels,
+    score_sound_labels,
     send_batches,
     set_broken_aside,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "score_batches",
     "score_keys",
     "score_labels",
+    "score_sound_labels",
     "send_batches",
     "set_broken_aside",
 ]

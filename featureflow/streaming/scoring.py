@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from ..functions.parsing import PROBLEM, parse_csv_line
 from ..functions.text import join_fields
+from ..functions.vectors import vector_elements
+from ..operators.joins import join_dimension
 from ..plans.scoring import assemble_features, label_lines, score
 from ..sinks.kafka import write_messages
 
@@ -55,6 +57,40 @@ def score_labels(
     return label_lines(score(model, features), dim, dim_key, dim_value, names)
 
 
+def score_sound_labels(
+    lines: DataFrame,
+    model: PipelineModel,
+    schema: T.StructType,
+    dim: DataFrame,
+    dim_key: str,
+    dim_value: str,
+    column: str = "value",
+    stand_in: float = 0.0,
+    topics: tuple[str, str] | None = None,
+) -> DataFrame:
+    """``score_labels`` that goes on at broken lines: one append holds lines and, with ``problem``, broken ones as they came.
+
+    Each line is parsed once. A broken one passes the model with ``stand_in`` in
+    its missing fields, a value the model must accept, so no null reaches the
+    assembler; the outcome is thrown away. With ``topics`` a ``topic`` column
+    sends sound lines to the first and broken ones to the second, as the message
+    sink reads that column. Needs no micro-batch handler.
+    """
+    names: Sequence[str] = schema.names
+    held = lines.select(F.col(column).alias("_line"))
+    tagged = parse_csv_line(held, "_line", schema, "tag")
+    filled = tagged.withColumns({f.name: F.coalesce(f.name, F.lit(stand_in).cast(f.dataType)) for f in schema})
+    scored = score(model, assemble_features(filled, names, keep=["_line", PROBLEM]))
+    named = vector_elements(
+        join_dimension(scored, dim, "predictedLabel", dim_key, how="left"), "features", names
+    )
+    broken = F.col(PROBLEM).isNotNull()
+    line = join_fields(*names, "predictedLabel", dim_value)
+    target = [] if topics is None else [F.when(broken, topics[1]).otherwise(topics[0]).alias("topic")]
+    kept = named.where(broken | F.col(dim_key).isNotNull())
+    return kept.select(F.when(broken, F.col("_line")).otherwise(line).alias("value"), F.col(PROBLEM).alias("problem"), *target)
+
+
 def score_batches(
     scorer: Callable[[DataFrame], DataFrame], folder: str, fmt: str = "parquet"
 ) -> Callable[[DataFrame, int], None]:
