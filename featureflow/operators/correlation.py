@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import exceeds, ordered_pair
 from ..sources.dimensions import dim_table
-from .balance import replicate_rows
+from .gramian import PRODUCTS, ROWS, SQUARES, SUMS, pair_sums
 from .stacking import SLOT, VALUE
 
 PAIRS_SCHEMA = "col_a string, col_b string, corr double"
 SHIFT_ROWS = 1_000
+# More columns than this are multiplied in blocks instead of stacked.
+STACKED_COLUMNS = 160
 COLUMNS_PER_SCAN = 80
 SHIFT_TOLERANCE = 1e4
 LAST_DIGIT = 4e-16
@@ -35,7 +37,9 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One scan yields the product sums of all pairs: each row is stacked by
     its left column inside the task and summed against all columns, so tasks
-    shuffle one row per column.
+    shuffle one row per column. Columns with nulls, and more columns than
+    ``STACKED_COLUMNS``, are multiplied in blocks of rows. A column that is constant
+    where both are there has no correlation.
     """
     return dim_table(df.sparkSession, _pair_rows(df, columns), PAIRS_SCHEMA)
 
@@ -52,12 +56,10 @@ def _pair_rows(
 def _matrix(df: DataFrame, columns: list[str], weight: str | None = None) -> list[list[float | None]]:
     times = [] if weight is None else [F.col(weight).alias(_TIMES)]
     doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns], *times)
+    if len(columns) > STACKED_COLUMNS:
+        return _blocked_correlations(doubles, columns)
     matrix = _complete_correlations(doubles, columns)
-    if matrix is not None:
-        return matrix
-    # Spark's pairwise correlation takes no weights: whole ones become copies.
-    copied = doubles if weight is None else replicate_rows(doubles, F.col(_TIMES))
-    return _pairwise_correlations(copied, columns)
+    return _blocked_correlations(doubles, columns) if matrix is None else matrix
 
 
 def _chunks(columns: Sequence[str]) -> list[list[str]]:
@@ -100,6 +102,30 @@ def _complete_correlations(df: DataFrame, columns: list[str]) -> list[list[float
     return np.where(undefined, None, matrix).tolist()
 
 
+def _blocked_correlations(df: DataFrame, columns: list[str]) -> list[list[float | None]]:
+    """All correlations, pairwise complete where there are nulls, from products of blocks of rows."""
+    weight = _TIMES if _TIMES in df.columns else None
+    first = df.take(SHIFT_ROWS)
+    shifts = np.array([_mean([row[name] for row in first]) for name in columns])
+    for attempt in range(2):
+        sums = pair_sums(df, columns, shifts, weight)
+        n, offset = np.diag(sums[ROWS]), np.zeros(len(columns))
+        np.divide(np.diag(sums[SUMS]), n, out=offset, where=n > 0)
+        variance = np.zeros(len(columns))
+        np.divide(np.diag(sums[SQUARES]), n, out=variance, where=n > 0)
+        far = offset**2 > SHIFT_TOLERANCE * np.maximum(variance - offset**2, 0.0)
+        if attempt or not np.any(far & (offset != 0)):
+            break
+        shifts = shifts + np.where(np.isfinite(offset), offset, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        n = sums[ROWS]
+        covariance = sums[PRODUCTS] - sums[SUMS] * sums[SUMS].T / n
+        spread = sums[SQUARES] - sums[SUMS] ** 2 / n
+        matrix = covariance / np.sqrt(spread * spread.T)
+        constant = ~(spread > n * (LAST_DIGIT * shifts[:, None]) ** 2) & ~np.isnan(spread) | (n <= 0)
+    return np.where(constant | constant.T, None, matrix).tolist()
+
+
 def _mean(values: list[float | None]) -> float:
     usable = [value for value in values if value is not None and math.isfinite(value)]
     return math.fsum(usable) / len(usable) if usable else 0.0
@@ -132,21 +158,6 @@ def _product_sums(df: DataFrame, columns: list[str], shifts: dict[str, float]):
     return n, sums, products, complete
 
 
-def _pairwise_correlations(df: DataFrame, columns: list[str]) -> list[list[float | None]]:
-    """Pairwise-complete correlations, for columns with nulls."""
-    matrix: list[list[float | None]] = [[None] * len(columns) for _ in columns]
-    done = 0
-    for chunk in _chunks(columns):
-        rows = _stacked(df, columns, chunk).agg(
-            *[F.corr(VALUE, name).alias(f"r{j}") for j, name in enumerate(chunk)]
-        )
-        for row in rows.collect():
-            for j in range(len(chunk)):
-                matrix[row[SLOT]][done + j] = row[f"r{j}"]
-        done += len(chunk)
-    return matrix
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The whole matrix in long form, every ordered pair including a column with itself.
 

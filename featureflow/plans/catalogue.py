@@ -65,7 +65,7 @@ from .training import (
     logistic_regression,
     random_forest,
 )
-from .tuning import best_parameters, logistic_grid, tune, tuning_report
+from .tuning import OPTIMAL, best_parameters, logistic_grid, optimality_residuals, tune, tuning_report
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -633,6 +633,27 @@ def corr_matrix(spark, folder):
     return rounded(matrix, 6, "corr")
 
 
+WIDE_CORR_SQL = """
+    WITH e AS (SELECT vec_id, embedding AS x, unnest(range(1, 65)) AS k FROM embeddings WHERE embedding IS NOT NULL),
+    v AS (SELECT vec_id, k, x[k]::DOUBLE AS a, x[k % 64 + 1]::DOUBLE AS b FROM e),
+    w AS (SELECT vec_id, 'x' || (k - 1) AS name, a AS value FROM v
+          UNION ALL SELECT vec_id, 's' || (k - 1), CASE WHEN (vec_id + k - 1) % 7 > 0 THEN a * a END FROM v
+          UNION ALL SELECT vec_id, 'p' || (k - 1), a * b FROM v)
+    SELECT l.name AS col_a, r.name AS col_b, round(corr(l.value, r.value), 6) + 0.0 AS corr
+    FROM w l JOIN w r ON l.vec_id = r.vec_id AND l.name < r.name GROUP BY ALL"""
+
+
+@query("AGG5 FEA9", WIDE_CORR_SQL)
+def wide_corr(spark, folder):
+    """192 columns, a third of them with nulls, multiplied in blocks of rows."""
+    at = [F.col("embedding")[k].cast("double") for k in range(EMBEDDING_WIDTH)]
+    squares = [F.when((F.col("vec_id") + k) % 7 > 0, x * x) for k, x in enumerate(at)]
+    products = [x * at[(k + 1) % EMBEDDING_WIDTH] for k, x in enumerate(at)]
+    named = [c.alias(f"{kind}{k}") for kind, part in zip("xsp", (at, squares, products), strict=True) for k, c in enumerate(part)]
+    table = read_table(spark, folder, "embeddings").where("embedding IS NOT NULL").select(*named)
+    return correlation.correlation_pairs(table, table.columns).withColumn("corr", F.round("corr", 6) + F.lit(0.0))
+
+
 @query(
     "AGG7 SCL12 SRT2",
     f"{PAIRS_SQL} SELECT * FROM pairs WHERE abs(corr) > 0.6",
@@ -999,6 +1020,20 @@ def lr_summary(spark, folder):
     return metrics.training_summary(spark, model.stages[-1])
 
 
+@query("MDL1 MDL3", "SELECT TRUE AS optimal, count(*) AS rows FROM labels WHERE quality IN (0, 1)")
+def lr_certificate(spark, folder):
+    """The regression behind its own selected features is at the minimum of its objective on the rows it was fitted on."""
+    flow = quality_flow(regression=LIGHT)
+    table = quality_table(spark, folder)
+    train, test = flow.split(table)
+    model = flow.fit(train)
+    weighted = PipelineModel(stages=model.stages[:-1]).transform(flow.weighted(train))
+    gap = optimality_residuals(weighted, [model.stages[-1]], flow.label)[0]
+    # Both parts together are all rows: the split loses none.
+    rows = train.select("doc_id").union(test.select("doc_id"))
+    return rows.agg(F.lit(gap <= OPTIMAL).alias("optimal"), F.count("*").alias("rows"))
+
+
 def odds_table(spark: SparkSession, folder: str) -> DataFrame:
     labels = read_table(spark, folder, "labels").withColumnRenamed("quality", "target")
     return encoding.assemble(["toxic"], "selectedFeatures").transform(labels)
