@@ -106,7 +106,7 @@ def _blocked_correlations(df: DataFrame, columns: list[str]) -> list[list[float
     """All correlations, pairwise complete where there are nulls, from products of blocks of rows."""
     weight = _TIMES if _TIMES in df.columns else None
     first = df.take(SHIFT_ROWS)
-    shifts = np.array([_mean([row[name] for row in first]) for name in columns])
+    shifts = np.array([_mean(list(values)) for values in zip(*first)][: len(columns)] or np.zeros(len(columns)))
     for attempt in range(2):
         sums = pair_sums(df, columns, shifts, weight)
         n, offset = np.diag(sums[ROWS]), np.zeros(len(columns))
