@@ -28,8 +28,10 @@ from .words import pieces
 
 #: Widths of the rank arrays in bytes of a word; longer words use the heap.
 WIDTHS = (8, 12, 16, 24, 48, 128)
-#: Distinct words a task remembers before it starts anew.
-REMEMBERED = 1 << 18
+#: Distinct words a task remembers before it starts anew, and bytes of them with their ids and decoded texts.
+REMEMBERED, REMEMBERED_BYTES = 1 << 18, 16 << 20
+#: Entries of the rank arrays that words are put into at once.
+CELLS = 1 << 19
 
 
 def byte_characters() -> list[str]:
@@ -98,6 +100,11 @@ class Tokenizer:
         #: Words met so far, with their ids as bytes and their decoded text.
         self.ids: dict[str, bytes] = {}
         self.decoded: dict[str, str] = {}
+        self.held = 0
+
+    def forget(self) -> None:
+        """Let go of all words; a worker process outlives the task that met them."""
+        self.ids, self.decoded, self.held = {}, {}, 0
 
     def normalize(self, text: str) -> str:
         """The text as the pattern sees it. Lower case is by character: a final sigma is like any other.
@@ -112,8 +119,9 @@ class Tokenizer:
         size = np.array([len(d) for d in data], np.int64)
         found: list = [None] * len(words)
         for low, high in zip((0, *WIDTHS[:-1]), WIDTHS, strict=True):
-            chosen = np.flatnonzero((size > low) & (size <= high))
-            if len(chosen):
+            own = np.flatnonzero((size > low) & (size <= high))
+            for begin in range(0, len(own), CELLS // high):
+                chosen = own[begin : begin + CELLS // high]
                 parts = np.full((len(chosen), high), -1, np.int64)
                 inside = np.arange(high) < size[chosen][:, None]
                 parts[inside] = self.inner[np.frombuffer(b"".join(data[k] for k in chosen), np.uint8)]
@@ -125,14 +133,14 @@ class Tokenizer:
             found[k] = heap_merges(parts[:-1] + [int(self.last[data[k][-1]])], self.merges)
         for word, ids in zip(words, found, strict=True):
             ids = [self.special[word]] if word in self.special else ids
-            self.ids[word] = struct.pack(f"<{len(ids)}I", *ids)
-            self.decoded[word] = self.decode(ids)
+            packed, plain = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+            self.ids[word], self.decoded[word] = packed, plain
+            self.held += len(word) + len(packed) + len(plain)
 
     def encode_all(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Of each text the ids, as little-endian unsigned 32-bit integers, and their decoded text."""
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.decoded.clear()
+        if len(self.ids) > REMEMBERED or self.held > REMEMBERED_BYTES:
+            self.forget()
         split = [self.segments(text) for text in texts]
         self.learn(list({w for words in split for w in words if w not in self.ids}))
         ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
@@ -214,10 +222,30 @@ def heap_merges(parts: list[int], merges: Merges) -> list[int]:
 
 @functools.lru_cache(maxsize=2)
 def tokenizer_of(file: str) -> Tokenizer:
-    """One tokenizer per worker process, so that tasks share the words it remembers."""
+    """One tokenizer per worker process, so that tasks need not read the file again."""
     return Tokenizer(file)
 
 
+def encoded_batches(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
+    """The rows of one task encoded and decoded; what it remembers goes when it ends, however it ends."""
+    tokenizer = tokenizer_of(file)
+    try:
+        for batch in pieces(batches, "text"):
+            encoded = tokenizer.encode_all([text or "" for text in batch.column("text").to_pylist()])
+            ids = [e[0] for e in encoded]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    pa.array([e[1] for e in encoded], pa.string()),
+                ],
+                names=["doc_id", "n_tokens", "ids", "decoded"],
+            )
+    finally:
+        tokenizer.forget()
+
+
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """Every whole text encoded and decoded again.
 
@@ -232,19 +260,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
         file = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(file)
-        for batch in pieces(batches, "text"):
-            encoded = tokenizer.encode_all([text or "" for text in batch.column("text").to_pylist()])
-            ids = [e[0] for e in encoded]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(i) // 4 for i in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array([e[1] for e in encoded], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids", "decoded"],
-            )
+        return encoded_batches(batches, file)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")

@@ -52,6 +52,48 @@ def test_words_can_be_forgotten(monkeypatch):
     assert tokenizer.encode_all(["one two three four five", "six one <|endoftext|>"]) == first
 
 
+def test_long_words_are_forgotten_by_their_bytes(monkeypatch):
+    from featureflow.llm import bpe
+
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 20_000)
+    tokenizer = Tokenizer(open(PATH, encoding="utf-8").read())
+    draw = random.Random(8)
+    texts = ["".join(draw.choices("abcdefghij", k=1000)) for _ in range(60)]
+    library = Library.from_file(PATH)
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert tokenizer.encode_all([text]) == [(struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False))]
+        held = sum(map(len, (*tokenizer.ids, *tokenizer.ids.values(), *tokenizer.decoded.values())))
+        assert held < 30_000
+
+
+def test_words_go_when_the_task_ends():
+    from featureflow.llm import bpe
+
+    file = open(PATH, encoding="utf-8").read()
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array(["one two three", None])})
+    ended, stopped = bpe.encoded_batches(iter([rows]), file), bpe.encoded_batches(iter([rows, rows]), file)
+    for task in (ended, stopped):
+        assert next(task).column("decoded").to_pylist() == ["one</w> two</w> three</w>", ""]
+        assert bpe.tokenizer_of(file).ids
+        list(task) if task is ended else task.close()
+        assert not bpe.tokenizer_of(file).ids and not bpe.tokenizer_of(file).decoded
+
+
+def test_words_are_learned_in_arrays_of_bounded_size(monkeypatch):
+    from featureflow.llm import bpe
+
+    draw = random.Random(9)
+    text = " ".join("".join(draw.choices("abcdefghijst", k=draw.randrange(1, 140))) for _ in range(500))
+    file, sizes = open(PATH, encoding="utf-8").read(), []
+    want = Tokenizer(file).encode_all([text])
+    scan = bpe.scan_merges
+    monkeypatch.setattr(bpe, "CELLS", 1024)
+    monkeypatch.setattr(bpe, "scan_merges", lambda parts, merges: sizes.append(parts.size) or scan(parts, merges))
+    assert Tokenizer(file).encode_all([text]) == want
+    assert max(sizes) <= 1024
+
+
 def test_scan_and_heap_give_the_parts_of_a_plain_search():
     draw = random.Random(6)
     letters = {c: k for k, c in enumerate("abc")}
